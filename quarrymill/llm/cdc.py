@@ -54,7 +54,7 @@ def chunk_ends(raw: bytes, reach: int = REACH, block: int = 1 << 20) -> np.ndarr
 def chunks(raw: bytes, reach: int = REACH) -> list[tuple[int, int, bytes]]:
     """Start, end and digest of each chunk."""
     ends = chunk_ends(raw, reach).tolist()
-    return [(a, b, hashlib.blake2b(raw[a:b], digest_size=16).digest()) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+    return [(a, b, hashlib.blake2b(raw[a:b], digest_size=16).digest()) for a, b in zip([0, *ends], ends, strict=False)]
 
 
 def dedup_chunks(docs: DataFrame, reach: int = REACH, least: int = LEAST) -> DataFrame:
