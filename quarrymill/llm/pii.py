@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.llm import boosting
+from quarrymill.llm.common import carried, restored
 
 KINDS = ("email", "ip", "card", "phone")
 LOCAL = r"A-Za-z0-9._%+-"
@@ -180,8 +181,8 @@ def with_spans(docs: DataFrame) -> DataFrame:
     none = F.array().cast("array<string>")
     guard = {"email": F.contains("_text", F.lit("@")), "phone": F.contains("_text", F.lit("+"))}
     patterns = {f"b{i}": (BASE[k], guard.get(k)) for i, k in enumerate(KINDS)} | {f"g{i}": (p, None) for i, (_, p) in enumerate(GENERATORS)}
-    # digits and signs at all? one cheap pattern for all generators but the first
-    out = out.withColumn("_digits", F.col("_text").rlike("[0-9]{2}")).withColumn("_at", F.col("_text").rlike(r"(?i)@|[\x20(\[]at[\x20)\]]"))
+    # has the text any digit, any sign for `at`? most have not, and skip the patterns
+    out = out.withColumn("_digits", F.col("_text").rlike("[0-9]")).withColumn("_at", F.col("_text").rlike(r"(?i)@|[\x20(\[]at[\x20)\]]"))
     cheap = {"b1": F.col("_digits"), "b2": F.col("_digits"), "g0": F.col("_at"), "g1": F.col("_digits"), "g2": F.contains("_text", F.lit(":")), "g3": F.col("_digits")}
     found = {}
     for name, (pattern, test) in patterns.items():
@@ -228,13 +229,16 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Texts without spans, nulls among them, stay as they are; n_chars, if there is such a column, follows the text.
     """
-    out = with_spans(docs)
+    out = with_spans(carried(docs, F.col("text").cast("string").alias("text")))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in (*KINDS, "account")))
     by_start = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    step = lambda acc, s: F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(F.substring(F.col("_text"), acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"]))).alias("out"))).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
+
+    def step(acc: Column, s: Column) -> Column:
+        before = F.substring(F.col("_text"), acc["at"] + 1, s["start"] - acc["at"])
+        apart = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(before, F.get(names, s["kind"]))).alias("out"))
+        return F.when(s["start"] >= acc["at"], apart).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
+
     text = F.aggregate(by_start, empty, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("_text"), acc["at"] + 1, F.length("_text"))))
-    out = out.withColumn("text", F.when(F.size("_spans") > 0, text).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+    changed = F.size("_spans") > 0
+    return restored(out.withColumn("_new", F.when(changed, text)), docs, F.col("_new"), changed)
