@@ -6,7 +6,7 @@ import sys
 import tempfile
 import types
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -49,22 +49,20 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
     return [F.xxhash64(F.lit(1), F.col(doc_id), F.col(text)).alias("k1"), F.xxhash64(F.col(text), F.col(doc_id), F.lit(2)).alias("k2")]
 
 
-def rows_to_arrow(kernel: Callable[..., Iterable[tuple]], columns: list[str], schema: pa.Schema, flush: int = 20_000) -> Callable:
-    """A mapInArrow function: kernel gets the named columns of a row and yields output tuples; batches stay bounded."""
+def carried(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns beside `carried`, a struct of all columns of docs, so that no name of docs can clash."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("carried"), *names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        for batch in batches:
-            arrays = [batch.column(batch.schema.get_field_index(c)) for c in columns]
-            for i in range(batch.num_rows):
-                out.extend(kernel(*(a[i].as_py() for a in arrays)))
-                if len(out) >= flush:
-                    yield to_batch(out, schema)
-                    out = []
-        if out:
-            yield to_batch(out, schema)
 
-    return run
+def restored(df: DataFrame, docs: DataFrame, text: Column | None = None, changed: Column | None = None) -> DataFrame:
+    """The columns of docs from `carried`, in docs' order and types; where `changed` holds, text is replaced, and
+    n_chars, if docs has it, follows."""
+    columns = {c: F.col("carried").getField(c) for c in docs.columns}
+    if text is not None:
+        columns["text"] = F.when(changed, text).otherwise(columns["text"])
+        if "n_chars" in columns:
+            columns["n_chars"] = F.when(changed, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    return df.select(*(column.alias(c) for c, column in columns.items()))
 
 
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import materialise
+from quarrymill.llm.common import carried, materialise, restored
 
 WEIGHTS = (5, 2, 1)
 BLOCKS = 128
@@ -112,15 +112,12 @@ def mix_report(docs: DataFrame) -> DataFrame:
 
 def mixed(docs: DataFrame) -> DataFrame:
     """The mix itself: docs' columns, a row per lap that takes a document, cut after the words taken where a border runs
-    through it (n_chars, if there is such a column, follows), dealt to the shards' order. Rows not taken are left out."""
-    out = mix(docs).where("_taken > 0")
+    through it (n_chars, if there is such a column, follows). Documents that are not taken are left out."""
+    out = mix(carried(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("source").cast("string").alias("source"))).where("_taken > 0")
     full = F.floor(F.col("_taken") / F.col("_size")).cast("int")
     cut = (F.col("_taken") - full * F.col("_size")).cast("int")
-    copies = F.concat(F.when(full > 0, F.array_repeat(F.lit(0), full)).otherwise(F.array().cast("array<int>")), F.when(cut > 0, F.array(cut)).otherwise(F.array().cast("array<int>")))
-    rows = out.withColumn("_cut", F.explode(copies))
+    none = F.array().cast("array<int>")
+    laps = F.concat(F.when(full > 0, F.array_repeat(F.lit(0), full)).otherwise(none), F.when(cut > 0, F.array(cut)).otherwise(none))
+    rows = out.withColumn("_cut", F.explode(laps))
     head = F.expr(r"regexp_extract(text, concat('^(?:[\\x20\\x09-\\x0D]*+[^\\x20\\x09-\\x0D]++){', _cut, '}+'), 0)")
-    text = F.when(F.col("_cut") > 0, head).otherwise(F.col("text"))
-    rows = rows.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("_cut") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return restored(rows.withColumn("_head", F.when(F.col("_cut") > 0, head)), docs, F.col("_head"), F.col("_cut") > 0)

@@ -20,10 +20,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import arrow_blobs, materialise
+from quarrymill.llm.common import arrow_blobs, carried, materialise, restored
 from quarrymill.llm.components import components
 
 BLOCK = 2048  # fingerprints of one cell that meet in one task
@@ -198,11 +198,13 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 2, groups: int =
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """docs with one document of each near-duplicate group: that of the smallest doc_id; all columns are kept.
 
-    Of rows with equal doc_id that share a group, one stays: that of the smallest text.
+    Of rows with equal doc_id that share a group, one stays: that of the smallest text. Rows without a doc_id stay only
+    if no other row of their group has one.
     """
-    from pyspark.sql import Window
-
-    groups = near_groups(docs, width, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_kept")).distinct()
-    kept = docs.join(groups, docs["doc_id"].eqNullSafe(groups["_kept"]), "left_semi")
+    groups = near_groups(docs, width, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    chosen = groups.select(F.col("doc_id").alias("chosen"), "fingerprint").distinct()
+    # a doc_id has more than one fingerprint only if rows repeat it, so the rows of an id are few
+    rows = carried(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    kept = rows.join(chosen.select("chosen").distinct(), F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi")
     order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    return kept.withColumn("_nth", F.row_number().over(order)).where("_nth = 1").drop("_nth")
+    return restored(kept.withColumn("nth", F.row_number().over(order)).where("nth = 1"), docs)
