@@ -34,7 +34,7 @@ BASE = {
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?+[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-BYTE = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
 # Generators: kind of the span, pattern. Their spans may overlap each other and the base spans.
 GENERATORS = (
@@ -171,7 +171,7 @@ def model(count: int = EXAMPLES, precision: float = 0.995) -> tuple[list, tuple[
         right = np.cumsum(y[own][order]) / np.arange(1, own.sum() + 1)
         good = np.flatnonzero(right >= precision)
         thresholds.append(float(odds[order][good[-1]]) if len(good) else float("inf"))
-    return trees, tuple(max(t, 0.0) for t in thresholds)
+    return trees, tuple(max(t, 0.0) - 1e-6 for t in thresholds)  # SQL has nine digits of each value
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
