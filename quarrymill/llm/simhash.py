@@ -1,14 +1,17 @@
 """SimHash near-duplicates: segment popcounts, a grid join under Manhattan distance, exact verification, components.
 
-A fingerprint's 64 bits are cut into segments of two bits; the bit counts of the segments are its embedding. The
-Manhattan distance of two embeddings never exceeds the Hamming distance of the fingerprints. With `groups` groups of
-segments and at most `radius` differing bits, at least `groups - radius` groups lie in the same cell of the grid of
-side 1, so joining on every choice of that many groups finds every link. A bound on the whole embedding and the exact
-Hamming distance follow.
+A fingerprint's 64 bits are cut into segments; the bit counts of the segments are its embedding. The Manhattan distance
+of two embeddings never exceeds the Hamming distance of the fingerprints. The segments are dealt to `groups` groups;
+with at most `radius` differing bits, at least `groups - radius` groups agree in every count, that is, lie in one cell
+of the grid of side 1, so joining on every choice of `agree` <= groups - radius groups finds every link. The bound on
+the whole embedding and the exact Hamming distance follow.
 
 Copies never multiply: the join runs on distinct fingerprints only. A crowded cell is not paired out either: it is cut
-to blocks, each pair of blocks is a group of bounded size in one task, and a task returns only a spanning forest of the
-links it finds, which keeps all components and at most as many edges as it read fingerprints.
+to blocks, each pair of blocks is a group of bounded size in one task, and a task returns only a minimum spanning
+forest of the links it finds, which keeps the components at every radius and has fewer edges than fingerprints.
+
+`near_groups` links by Hamming distance alone. `keep_one` goes further: with a wider radius, whose grid finds most but
+not all links beyond groups - agree bits, it also links texts whose word shingles are similar, verified on the texts.
 """
 
 from __future__ import annotations
@@ -17,16 +20,16 @@ from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import arrow_blobs, carried, materialise, restored
+from quarrymill.llm.common import arrow_blobs, carried, materialise, restored, row_key
 from quarrymill.llm.components import components
 
 BLOCK = 2048  # fingerprints of one cell that meet in one task
+SMALL = 32  # cells up to this size are compared all at once
 
 
 def fingerprint(raw: bytes, width: int = 3) -> int:
@@ -48,134 +51,152 @@ def fingerprint(raw: bytes, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id and fp (a signed long with the fingerprint's bits) of every row; null, empty and blank texts have 0."""
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
+    """doc_id, row keys and fp (a signed long with the fingerprint's bits) of every row; null, empty and blank texts
+    have 0."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "k1", "k2", "fp")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(raw, width) for raw in arrow_blobs(batch.column(1))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())], schema=schema)
+            fps = np.array([fingerprint(raw, width) for raw in arrow_blobs(batch.column(3))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps, pa.int64())], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.select("doc_id", *row_key(), "text").mapInArrow(run, "doc_id long, k1 long, k2 long, fp long")
 
 
-def embedding(fps: np.ndarray) -> np.ndarray:
-    """Bit counts (0, 1 or 2) of the 32 two-bit segments of each fingerprint, lowest segment first."""
-    value = fps.astype(np.int64).view(np.uint64)[:, None] >> np.arange(0, 64, 2, dtype=np.uint64)
-    return ((value & np.uint64(1)) + ((value >> np.uint64(1)) & np.uint64(1))).astype(np.uint8)
+def embedding(fps: np.ndarray, segment: int = 2) -> np.ndarray:
+    """Bit counts of the segments of `segment` bits of each fingerprint, lowest segment first."""
+    bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.reshape(len(fps), 64 // segment, segment).sum(axis=2, dtype=np.uint8)
 
 
-def cells(fps: np.ndarray, groups: int, agree: int) -> np.ndarray:
+def cells(fps: np.ndarray, groups: int, agree: int, segment: int = 2) -> np.ndarray:
     """The grid cell of each fingerprint for every choice of `agree` groups: one column of cell numbers per choice."""
-    counts = embedding(fps).astype(np.uint64)
+    counts = embedding(fps, segment).astype(np.uint64)
     choices = list(combinations(range(groups), agree))
-    parts = np.array_split(np.arange(32), groups)
+    parts = np.array_split(np.arange(64 // segment), groups)
     out = np.empty((len(fps), len(choices)), np.uint64)
     for n, choice in enumerate(choices):
         cell = np.full(len(fps), n, np.uint64)
-        for segment in np.concatenate([parts[g] for g in choice]):
-            cell = cell * np.uint64(3) + counts[:, segment]
+        for place in np.concatenate([parts[g] for g in choice]):
+            cell = cell * np.uint64(segment + 1) + counts[:, place]
         out[:, n] = cell
     return out.view(np.int64)
 
 
-def forest(own: np.ndarray, other: np.ndarray | None, radius: int) -> np.ndarray:
-    """Edges (positions in own followed by other) of a spanning forest of all links within own, or between both.
-
-    Breadth first: a fingerprint is compared with all that are not reached yet, once, so links are never listed.
-    """
-    fps = own if other is None else np.concatenate([own, other])
-    bits, counts = fps.view(np.uint64), embedding(fps).astype(np.int8)
-    side = np.zeros(len(fps), bool) if other is None else np.arange(len(fps)) >= len(own)
-    unseen, edges = np.ones(len(fps), bool), []
-    for root in range(len(fps)):
-        if not unseen[root]:
-            continue
-        unseen[root], todo = False, [root]
-        while todo:
-            i = todo.pop()
-            near = np.flatnonzero(unseen & (np.bitwise_count(bits ^ bits[i]) <= radius) & (True if other is None else side != side[i]))
-            near = near[np.abs(counts[near] - counts[i]).sum(axis=1) <= radius]
-            unseen[near] = False
-            edges += [(i, j) for j in near.tolist()]
-            todo += near.tolist()
+def near(left: np.ndarray, right: np.ndarray, radius: int, segment: int) -> np.ndarray:
+    """Which pairs link: the embeddings' distance is a lower bound and goes first, the exact distance decides."""
+    bound = np.abs(embedding(left, segment).astype(np.int8) - embedding(right, segment).astype(np.int8)).sum(axis=1, dtype=np.int16) <= radius
+    out = np.zeros(len(left), bool)
+    out[bound] = np.bitwise_count(left[bound].view(np.uint64) ^ right[bound].view(np.uint64)) <= radius
+    return out
+
+
+def forest(fps: np.ndarray, radius: int) -> np.ndarray:
+    """Edges (positions) of a minimum spanning forest of the links among fps, grown from one tree to the next."""
+    bits, far = fps.view(np.uint64), 65
+    distance, parent = np.full(len(fps), far), np.zeros(len(fps), np.int64)
+    waiting, edges = np.ones(len(fps), bool), []
+    for _ in range(len(fps)):
+        i = int(np.argmin(np.where(waiting, distance, far + 1)))
+        if distance[i] <= radius:
+            edges.append((int(parent[i]), i))
+        waiting[i] = False
+        to = np.bitwise_count(bits ^ bits[i])
+        closer = waiting & (to < distance) & (to <= radius)
+        distance[closer], parent[closer] = to[closer], i
     return np.array(edges, np.int64).reshape(-1, 2)
 
 
-def links(distinct: DataFrame, radius: int = 2, groups: int = 4, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that keep every component under links of at most `radius` bits.
+def links(distinct: DataFrame, radius: int = 2, groups: int = 4, agree: int = 2, segment: int = 2, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints that keep the components at every radius up to `radius`, as far as
+    linked fingerprints share a cell (all with at most groups - agree differing bits do).
 
     distinct: one row per fingerprint, column fp. Cells with up to `block` fingerprints are one group; fuller ones are
     cut by a hash of the fingerprint and every pair of parts is a group, so that no group holds over about two blocks.
     """
-    agree = groups - radius
     choices = len(list(combinations(range(groups), agree)))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = batch.column(0).to_numpy(zero_copy_only=False)
-            found = cells(fps, groups, agree)
-            yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), pa.array(np.repeat(fps, choices))], names=["cell", "fp"])
+            for at in range(0, len(fps), 4096):
+                found = cells(fps[at : at + 4096], groups, agree, segment)
+                yield pa.RecordBatch.from_arrays([pa.array(found.ravel()), pa.array(np.repeat(fps[at : at + 4096], choices))], names=["cell", "fp"])
 
     placed = distinct.select("fp").mapInArrow(deal, "cell long, fp long")
     full = placed.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
-    placed = placed.join(full, "cell")
     parts = F.ceil(F.col("n") / block).cast("int")
     mine = F.pmod(F.xxhash64("fp"), parts).cast("int")
-    grouped = placed.select("cell", "fp", parts.alias("parts"), mine.alias("part")).select("cell", "fp", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
-    grouped = grouped.select("cell", "fp", "part", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"))
+    grouped = placed.join(full, "cell").select("cell", "fp", mine.alias("part"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("other"))
+    grouped = grouped.select("cell", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "fp")
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = np.zeros((0, 4), np.int64)
+        for batch in batches:
+            rest = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns], axis=1)])
+            last = int((rest[:, :3] == rest[-1, :3]).all(axis=1).argmax())
+            if last:
+                yield solve(rest[:last])
+                rest = rest[last:]
+        if len(rest):
+            yield solve(rest)
+
+    def solve(rows: np.ndarray) -> pa.RecordBatch:
+        """All groups of some sorted rows: small ones by comparing rows at every offset, others by forests."""
+        fps = np.ascontiguousarray(rows[:, 3])
+        cuts = np.flatnonzero((rows[1:, :3] != rows[:-1, :3]).any(axis=1)) + 1
+        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(rows)]])
+        sizes = ends - starts
+        end = np.repeat(np.where(sizes <= SMALL, ends, 0), sizes)
+        found, offset = [], 1
+        here = np.flatnonzero(np.arange(len(rows)) + offset < end)
+        while len(here):
+            ok = near(fps[here], fps[here + offset], radius, segment)
+            found.append((fps[here[ok]], fps[here[ok] + offset]))
+            offset += 1
+            here = here[here + offset < end[here]]
+        for s, e in zip(starts[sizes > SMALL], ends[sizes > SMALL], strict=True):
+            edges = forest(fps[s:e], radius)
+            found.append((fps[s + edges[:, 0]], fps[s + edges[:, 1]]))
+        a, b = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, np.int64) for i in (0, 1))
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
+
+    dealt = grouped.repartition(F.col("cell"), F.col("p"), F.col("q")).sortWithinPartitions("cell", "p", "q", "fp")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
-    def meet(frame: pd.DataFrame) -> pd.DataFrame:
-        p, q = int(frame["p"].iloc[0]), int(frame["q"].iloc[0])
-        fps, part = frame["fp"].to_numpy(np.int64), frame["part"].to_numpy()
-        own = fps if p == q else fps[part == p]
-        other = None if p == q else fps[part == q]
-        both = own if other is None else np.concatenate([own, other])
-        edges = forest(own, other, radius)
-        return pd.DataFrame({"a": both[edges[:, 0]], "b": both[edges[:, 1]]})
 
-    return small_groups(grouped, meet, radius)
+def shingles(raw: bytes, width: int) -> frozenset[bytes]:
+    """The different word shingles of lower-cased text; the whole word sequence if it is shorter."""
+    words = raw.lower().split()
+    return frozenset(b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
 
 
-def small_groups(grouped: DataFrame, meet, radius: int) -> DataFrame:
-    """Groups of a sorted partition, one after another: far cheaper than one Python call per tiny cell."""
+def alike(edges: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
+    """The edges (a, b) whose texts (fp, text; one per fingerprint) have a Jaccard similarity of at least `least` on
+    shingles of `width` words."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pd.DataFrame | None = None
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
-            frame = batch.to_pandas()
-            rest = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
-            key = rest[["cell", "p", "q"]].to_numpy()
-            last = (key == key[-1]).all(axis=1).argmax()
-            if last:
-                found = solve(rest.iloc[:last])
-                rest = rest.iloc[last:].reset_index(drop=True)
-                if len(found):
-                    yield pa.RecordBatch.from_pandas(found, schema=schema, preserve_index=False)
-        if rest is not None and len(rest):
-            found = solve(rest)
-            if len(found):
-                yield pa.RecordBatch.from_pandas(found, schema=schema, preserve_index=False)
-
-    def solve(frame: pd.DataFrame) -> pd.DataFrame:
-        key = frame[["cell", "p", "q"]].to_numpy()
-        cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(frame)]])
-        sizes = ends - starts
-        fps = frame["fp"].to_numpy(np.int64)
-        parts = []
-        pair = starts[sizes == 2]  # most cells hold two fingerprints: all of these at once
-        if len(pair):
-            a, b = fps[pair], fps[pair + 1]
-            bound = np.abs(embedding(a).astype(np.int8) - embedding(b).astype(np.int8)).sum(axis=1) <= radius
-            near = bound & (np.bitwise_count(a.view(np.uint64) ^ b.view(np.uint64)) <= radius)
-            parts.append(pd.DataFrame({"a": a[near], "b": b[near]}))
-        parts += [meet(frame.iloc[s:e]) for s, e in zip(starts[sizes > 2], ends[sizes > 2], strict=True)]
-        return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"a": [], "b": []}, dtype=np.int64)
+            keep = []
+            for left, right in zip(arrow_blobs(batch.column(2)), arrow_blobs(batch.column(3)), strict=True):
+                x, y = shingles(left, width), shingles(right, width)
+                both = len(x & y)
+                keep.append(both >= least * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays(list(batch.filter(pa.array(keep, pa.bool_())).columns[:2]), schema=schema)
 
-    dealt = grouped.repartition(F.col("cell"), F.col("p"), F.col("q")).sortWithinPartitions("cell", "p", "q", "fp")
-    return dealt.mapInArrow(run, "a long, b long")
+    left = edges.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b")
+    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+
+
+def with_component(marked: DataFrame, edges: DataFrame) -> DataFrame:
+    """fp and component (a fingerprint that stands for all those it is linked to) of every fingerprint of marked."""
+    labels = components(edges)
+    distinct = marked.select("fp").distinct()
+    return distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("component"))
 
 
 def near_groups(docs: DataFrame, width: int = 3, radius: int = 2, groups: int = 4, block: int = BLOCK) -> DataFrame:
@@ -186,25 +207,33 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 2, groups: int =
     Columns of docs other than doc_id and text are left aside. An empty table gives an empty result.
     """
     marked = materialise(fingerprints(docs, width), "simhash")
-    distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    edges = materialise(links(distinct, radius, groups, block).distinct(), "simhash-links")
-    labels = components(edges)
-    merged = distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
+    edges = materialise(links(marked.select("fp").distinct(), radius, groups, groups - radius, 2, block), "simhash-links")
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    merged = with_component(marked, edges).join(least, "fp")
     smallest = merged.groupBy("component").agg(F.min("least").alias("component_id"))
     ids = merged.select("fp", "component").join(smallest, "component").select("fp", "component_id")
     return marked.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
-    """docs with one document of each near-duplicate group: that of the smallest doc_id; all columns are kept.
+def keep_one(docs: DataFrame, width: int = 3, radius: int = 2, reach: int = 12, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs with one document of each group of near-duplicates: that of the smallest doc_id; all columns are kept.
 
-    Of rows with equal doc_id that share a group, one stays: that of the smallest text. Rows without a doc_id stay only
-    if no other row of their group has one.
+    Fingerprints (of `width` words) link within `radius` bits, and up to `reach` bits if texts that have them share at
+    least `similarity` of their shingles of `shingle` words. The wider grid (2 of 8 groups of one-bit segments) holds
+    all links of up to 6 bits and most of the wider ones; in a crowded cell, texts are compared along the forest of
+    nearest fingerprints. Rows without a doc_id come last when the one to stay is chosen; of rows equal in doc_id and
+    text one stays. An empty table stays empty.
     """
-    groups = near_groups(docs, width, radius).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    chosen = groups.select(F.col("doc_id").alias("chosen"), "fingerprint").distinct()
-    # a doc_id has more than one fingerprint only if rows repeat it, so the rows of an id are few
-    rows = carried(docs, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    kept = rows.join(chosen.select("chosen").distinct(), F.col("doc_id").eqNullSafe(F.col("chosen")), "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.col("text").asc_nulls_last())
-    return restored(kept.withColumn("nth", F.row_number().over(order)).where("nth = 1"), docs)
+    marked = materialise(fingerprints(docs, width), "dedup")
+    edges = materialise(links(marked.select("fp").distinct(), reach, 8, 2, 1), "dedup-links")
+    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
+    wide = edges.where(~close)
+    stands = wide.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(marked.groupBy("fp").agg(F.min(F.struct("k1", "k2")).alias("k")), "fp")
+    keyed = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *row_key())
+    texts = materialise(stands.select("fp", "k.k1", "k.k2").join(keyed, ["k1", "k2"]).select("fp", "text").dropDuplicates(["fp"]), "dedup-texts")
+    kept = materialise(edges.where(close).select("a", "b").unionByName(alike(wide, texts, shingle, similarity)), "dedup-edges")
+    rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")
+    first = marked.join(with_component(marked, kept), "fp").groupBy("component").agg(F.min(rank).alias("f"))
+    rows = carried(docs, *row_key()).join(first.select("f.k1", "f.k2"), ["k1", "k2"], "left_semi")
+    equal = Window.partitionBy("k1", "k2").orderBy(F.xxhash64("carried"))
+    return restored(rows.withColumn("nth", F.row_number().over(equal)).where("nth = 1"), docs)
