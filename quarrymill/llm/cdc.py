@@ -1,10 +1,15 @@
 """Substring dedup by content-defined chunking with a gear rolling hash.
 
-The gear hash of a position adds a random number per byte, shifted by the byte's distance, and so depends on the last 32
+The gear hash of a position adds a random number per byte, shifted by the byte's distance, and so depends on the last 16
 bytes only. A chunk ends where the hash is the largest within `reach` bytes on either side (the first of equal ones).
 Ends thus depend on nearby bytes alone: an insertion moves the ends around it and no others, chunks have at least
-reach + 1 bytes, and most have about twice that. Chunks are compared by a 128-bit BLAKE2 digest; of equal chunks the
-one in the document with the smallest doc_id stays (within that document: the first), all others are removed.
+reach + 1 bytes, and most have about twice that. Only where there is no such end for `MOST` bytes, as in text that
+repeats a few letters, chunks are cut at that size.
+
+Chunks are compared by a 128-bit BLAKE2 digest. A single repeated chunk is often a common phrase, so only runs of
+neighbouring repeated chunks of together `RUN` bytes count; a repeated passage of over 50 words of usual length holds
+one in more than 99 of 100 cases. In these, of equal chunks the one in the document with the smallest doc_id stays
+(within that document: the first), others are removed.
 """
 
 from __future__ import annotations
@@ -21,13 +26,15 @@ from quarrymill.llm.common import arrow_blobs, row_key, to_batch
 
 REACH = 24
 LEAST = 16  # shorter chunks (ends of documents) are never removed
+MOST = 192
+RUN = 80
 GEAR = np.random.default_rng(20260501).integers(0, 2**32, 256, np.uint32)
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """The rolling hash at each byte over the last 32 bytes (fewer at the start), modulo 2^32, by doubling."""
+    """The rolling hash at each byte over the last 16 bytes (fewer at the start), modulo 2^32, by doubling."""
     out, reach = GEAR[data], 1
-    while reach < 32:
+    while reach < 16:
         out[reach:] = out[reach:] + (out[:-reach] << np.uint32(reach))
         reach *= 2
     return out
@@ -35,7 +42,7 @@ def gear_hashes(data: np.ndarray) -> np.ndarray:
 
 def chunk_ends(raw: bytes, reach: int = REACH, block: int = 1 << 20) -> np.ndarray:
     """End offsets of the chunks of raw, the last being len(raw); long texts go through in overlapping blocks."""
-    size, found, margin = len(raw), [], reach + 32
+    size, found, margin = len(raw), [], reach + 16
     for at in range(0, size, block):
         low, high = max(0, at - margin), min(size, at + block + margin)
         data = np.frombuffer(raw, np.uint8, high - low, low)
@@ -47,8 +54,14 @@ def chunk_ends(raw: bytes, reach: int = REACH, block: int = 1 << 20) -> np.ndarr
             span += step
         centre = np.flatnonzero(value[reach : reach + len(top)] == top) + reach + low
         found.append(centre[(centre >= at) & (centre < at + block)] + 1)
-    ends = np.concatenate(found) if found else np.zeros(0, np.int64)
-    return np.append(ends[ends < size], size) if size else ends
+    if not size:
+        return np.zeros(0, np.int64)
+    ends = np.concatenate(found)
+    ends = np.append(ends[ends < size], size)
+    starts = np.concatenate([[0], ends[:-1]])
+    pieces = (ends - starts + MOST - 1) // MOST  # cuts of long chunks are counted from their start
+    within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces) + 1
+    return np.minimum(np.repeat(starts, pieces) + within * MOST, np.repeat(ends, pieces))
 
 
 def chunks(raw: bytes, reach: int = REACH) -> list[tuple[int, int, bytes]]:
@@ -57,9 +70,21 @@ def chunks(raw: bytes, reach: int = REACH) -> list[tuple[int, int, bytes]]:
     return [(a, b, hashlib.blake2b(raw[a:b], digest_size=16).digest()) for a, b in zip([0, *ends], ends, strict=False)]
 
 
-def dedup_chunks(docs: DataFrame, reach: int = REACH, least: int = LEAST) -> DataFrame:
-    """A row per document: doc_id, n_bytes, n_chunks, n_repeated (bytes in chunks that occur again anywhere), n_removed
-    (bytes taken out), n_spans (runs taken out), kept_sha256 and kept (the remaining bytes).
+def in_runs(repeated: list[tuple[int, int]], run: int) -> set[int]:
+    """The starts of those chunks (start, end; in order) that lie in runs of neighbours of together `run` bytes."""
+    out, own = set(), []
+    for start, end in [*repeated, (-1, -1)]:
+        if own and own[-1][1] != start:
+            if own[-1][1] - own[0][0] >= run:
+                out.update(s for s, _ in own)
+            own = []
+        own.append((start, end))
+    return out
+
+
+def dedup_chunks(docs: DataFrame, reach: int = REACH, least: int = LEAST, run: int = RUN) -> DataFrame:
+    """A row per document: doc_id, n_bytes, n_chunks, n_repeated (bytes in runs of chunks that occur again anywhere),
+    n_removed (bytes taken out), n_spans (spans taken out), kept_sha256 and kept (the remaining bytes).
 
     Null text counts as empty. Rows that repeat a doc_id with another text are documents of their own; rows equal in
     both are copies that all keep the first chunks, as no one of them comes first. A null doc_id comes after all others.
@@ -103,9 +128,10 @@ def dedup_chunks(docs: DataFrame, reach: int = REACH, least: int = LEAST) -> Dat
             for doc_id, d1, d2, firsts, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4)), arrow_blobs(batch.column(1)), strict=True):
                 stays = {np.array(pair, np.int64).tobytes(): first for *pair, first in zip(d1 or (), d2 or (), firsts or (), strict=True)}
                 own = chunks(raw, reach)
+                long = in_runs([(a, b) for a, b, digest in own if b - a >= least and digest in stays], run)
                 kept, seen, repeated, spans, before = [], set(), 0, 0, -1
                 for a, b, digest in own:
-                    out = b - a >= least and digest in stays
+                    out = a in long
                     repeated += (b - a) * out
                     if out and (not stays[digest] or digest in seen):
                         spans += before != a

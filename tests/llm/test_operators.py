@@ -101,7 +101,7 @@ def slow_ends(b, reach=cdc.REACH):
     value = []
     for i in range(len(b)):
         h = 0
-        for j in range(min(i + 1, 32)):
+        for j in range(min(i + 1, 16)):
             h += int(cdc.GEAR[b[i - j]]) << j
         value.append(h % 2**32)
     ends = []
@@ -109,7 +109,14 @@ def slow_ends(b, reach=cdc.REACH):
         around = value[i - reach : i + reach + 1]
         if value[i] == max(around) and around.index(value[i]) == reach:
             ends.append(i + 1)
-    return [e for e in ends if e < len(b)] + [len(b)] * bool(b)
+    out = []
+    for end in [e for e in ends if e < len(b)] + [len(b)] * bool(b):
+        start = out[-1] if out else 0
+        while end - start > cdc.MOST:
+            start += cdc.MOST
+            out.append(start)
+        out.append(end)
+    return out
 
 
 def test_chunk_ends_match_the_definition_and_blocks():
@@ -140,8 +147,15 @@ def test_chunk_dedup(docs, rows, empty):
     want = collections.Counter()
     for doc_id, text, *_ in rows:
         b, kept, seen, repeated = raw(text), [], set(), 0
-        for s, e, d in cdc.chunks(b):
-            out = e - s >= cdc.LEAST and copies[d] > 1
+        own = cdc.chunks(b)
+        again = [e - s >= cdc.LEAST and copies[d] > 1 for s, e, d in own]
+        for n, (s, e, d) in enumerate(own):
+            low = high = n
+            while low >= 0 and again[low]:
+                low -= 1
+            while high < len(own) and again[high]:
+                high += 1
+            out = again[n] and own[high - 1][1] - own[low + 1][0] >= cdc.RUN
             repeated += (e - s) * out
             if not out or (first[d] == (last if doc_id is None else doc_id) and d not in seen):
                 kept.append(b[s:e])
@@ -157,7 +171,7 @@ def test_chunk_dedup_catches_passages_of_over_fifty_words(spark):
     rng = random.Random(4)
     rows = []
     for i in range(40):
-        passage = words(rng, 52, 10**6)
+        passage = " ".join(f"{rng.randrange(10**5, 10**7)}"[: rng.randint(4, 7)] for _ in range(52))
         rows += [(2 * i + j, f"{words(rng, 60, 10**6)} {passage} {words(rng, 60, 10**6)}", "en", "a") for j in (0, 1)]
     rows += [(100 + i, words(rng, 150, 10**6), "en", "a") for i in range(40)]
     got = {r.doc_id: r.n_repeated for r in cdc.dedup_chunks(documents(spark, rows)).collect()}
