@@ -60,4 +60,16 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_media, op2_chunk_dedup, op3_prefix_forest, op4_simhash, op5_packing, op6_pii, op7_sharding, op8_language, op9_mixing, op10_suffix_dedup, pipeline)}
 
-ORACLE_SQL: dict[str, str] = {}
+#: Removed spans by counting every window; the other operators need hashes, models or searches that DuckDB has not.
+SUFFIX_SQL = """WITH d AS (SELECT doc_id, hex(encode(COALESCE(text, ''))) AS h FROM documents), n AS (SELECT doc_id, h, len(h) // 2 AS n FROM d),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT doc_id, h, unnest(range(0, n - 199)) AS i FROM n)),
+s AS (SELECT doc_id, i FROM w WHERE m IN (SELECT m FROM w GROUP BY m HAVING COUNT(*) > 1)),
+g AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 200 THEN 0 ELSE 1 END AS f FROM s),
+r AS (SELECT doc_id, i, sum(f) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS r FROM g),
+spans AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM r GROUP BY doc_id, r),
+gaps AS (SELECT doc_id, COALESCE(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS a, a AS b FROM spans UNION ALL SELECT n.doc_id, COALESCE(max(b), 0), any_value(n.n) FROM n LEFT JOIN spans s ON s.doc_id = n.doc_id GROUP BY n.doc_id),
+kept AS (SELECT n.doc_id, string_agg(substr(n.h, 2 * g.a + 1, 2 * (g.b - g.a)), '' ORDER BY g.a) AS h FROM n JOIN gaps g ON g.doc_id = n.doc_id GROUP BY n.doc_id)
+SELECT n.doc_id, n.n AS n_bytes, COALESCE(c.removed, 0)::BIGINT AS n_removed, COALESCE(c.spans, 0)::BIGINT AS n_spans, sha256(unhex(k.h)) AS kept_sha256
+FROM n JOIN kept k ON k.doc_id = n.doc_id LEFT JOIN (SELECT doc_id, sum(b - a) AS removed, COUNT(*) AS spans FROM spans GROUP BY doc_id) c ON c.doc_id = n.doc_id"""
+
+ORACLE_SQL: dict[str, str] = {"op10_suffix_dedup": SUFFIX_SQL}
