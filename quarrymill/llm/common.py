@@ -13,13 +13,12 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrymill.sources.io import parquet_table as table
+
 # Functions sent to executors carry their code along, so workers need no copy of this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the input folder; only Spark's readers touch the path."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+__all__ = ["arrow_blobs", "carried", "materialise", "restored", "row_key", "shared_dir", "table", "to_batch", "worker_cache"]
 
 
 def shared_dir(spark: SparkSession) -> str:
