@@ -18,11 +18,17 @@ def col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def once(value: Column) -> Column:
+    """The same value, which the optimizer does not copy into each expression and filter that reads it."""
+    return F.when(F.rand(0) >= 0, value)
+
+
 @F.pandas_udf(T.StringType())
 def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
+
 def unescape(text: Column | str) -> Column:
     """HTML entities resolved. Python sees only texts that hold `&` (others are sent as null); null stays null."""
     text = col(text)

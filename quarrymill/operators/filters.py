@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import vocab
 from quarrymill.functions.tags import has
-from quarrymill.functions.text import clean_prompt, col, lineage, scrub_no_text, word_count
+from quarrymill.functions.text import clean_prompt, col, lineage, once, scrub_no_text, word_count
 
 
 @dataclass(frozen=True)
@@ -31,8 +31,8 @@ def reject_reason(raw: Column | str, clean: Column | str, n_words: Column | str,
 
 def with_clean(df: DataFrame, raw: str, unsafe: Column, rules: CleanRules = CleanRules()) -> DataFrame:
     """df with clean, n_words, max_score and reason (null: accepted)."""
-    out = df.withColumn("clean", clean_prompt(raw, rules.entities)).withColumn("n_words", word_count("clean")).withColumn("max_score", unsafe)
-    return out.withColumn("reason", reject_reason(raw, "clean", "n_words", "max_score", rules))
+    out = df.withColumn("clean", once(clean_prompt(raw, rules.entities))).withColumn("n_words", once(word_count("clean"))).withColumn("max_score", unsafe)
+    return out.withColumn("reason", once(reject_reason(raw, "clean", "n_words", "max_score", rules)))
 
 
 def post_filter_reasons(prompt: Column | str, fallback: Column | str, fields: list[Column | str] | None = None) -> Column:

@@ -39,11 +39,12 @@ def candidates(raw: DataFrame, prompt: str, key: str, unsafe: Column, rules: fil
 
 
 def clean_pool(found: DataFrame, key: str, options: PipelineOptions) -> DataFrame:
-    """Records of the clean stage, split by the pool sizes; raises if there are too few."""
+    """Records of the clean stage, split by the pool sizes, kept in the cache as all later stages read them; raises if
+    there are too few of a kind."""
     train, val = options.pool("train"), options.pool("val")
-    if not options.allow_short and (why := sampling.shortage(found, train, val, options.motion_ratio)):
+    chosen = sampling.split_train_val(found, train, val, options.motion_ratio, options.seed, key).persist()
+    if not options.allow_short and (why := sampling.shortage(chosen, train, val, options.motion_ratio)):
         raise ValueError(why)
-    chosen = sampling.split_train_val(found, train, val, options.motion_ratio, options.seed, key)
     seed = F.pmod(F.conv(F.substring(text.hash_order(options.seed + 2, key), 1, 12), 16, 10).cast("long"), F.lit(2**31 - 1))
     return chosen.withColumns({"prompt_id": text.row_id(options.prefix, F.col("split"), "index"), "prompt": F.col("clean"), "clean_prompt": F.col("clean"), "lang": F.lit("en"), "negative_prompt": F.lit(vocab.NEGATIVE_PROMPT), "seed_hint": seed, "source": F.lit("filtered_clean_v1")})
 
@@ -61,10 +62,10 @@ def extend(pool: DataFrame, options: PipelineOptions, client: Callable[[str], st
 
 def finalize(safe: DataFrame, options: PipelineOptions) -> DataFrame:
     """The final records of both splits with their lineage."""
-    out = None
+    out, sizes = None, {r["split"]: r["count"] for r in safe.groupBy("split").count().collect()}
     for split, target in (("train", options.train), ("val", options.val)):
         part = safe.where(F.col("split") == split).drop("index")
-        size = part.count()
+        size = sizes.get(split, 0)
         if size < target and not options.allow_short:
             raise ValueError(f"safe pool for {split} is short: need {target}, got {size}")
         target = min(target, size)

@@ -394,7 +394,7 @@ def iso_times(spark, sf_dir):
 @query
 def stream_lease_sessions(spark, sf_dir):
     """Closed sessions of the event log as a stream; the tail stays in state until the watermark passes it."""
-    source = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
+    source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*")
     return stream.run_once(stream.stream_sessions(source), f"sessions_{abs(hash(sf_dir))}").select("user_id", F.unix_micros("start").alias("start_us"), "heartbeats")
 
 
@@ -402,7 +402,7 @@ def stream_lease_sessions(spark, sf_dir):
 def stream_lease_state(spark, sf_dir):
     """The lease machine over the event log: items are users, event types play the actions."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    source = spark.readStream.schema(table(spark, sf_dir, "events").schema).parquet(f"{sf_dir}/events.parquet*")
+    source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*")
     action = F.element_at(F.array(*map(F.lit, ["claim", "heartbeat", "release", "commit"])), (F.pmod(F.xxhash64("event_type", "event_id"), F.lit(4)) + 1).cast("int"))
     events = source.select("event_id", "ts", F.col("user_id").cast("string").alias("prompt_id"), F.concat(F.lit("w"), F.col("event_id") % 2).alias("worker_id"), F.concat(F.lit("t"), F.col("event_id") % 2).alias("token"), action.alias("action"))
     return stream.run_once(stream.stream_leases(events), f"leases_{abs(hash(sf_dir))}")

@@ -16,7 +16,19 @@ RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("uuid", "p
 
 
 def parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table of few files, whose row groups would keep fewer than half of the cores busy, is dealt to all of them.
+
+    Larger tables stay as they are read. What the files hold is only looked at, by counts, if there are few of them.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if len(df._jdf.inputFiles()) >= cores:
+        return df
+    filled = df.select(F.spark_partition_id().alias("part")).distinct().count()
+    return df if 2 * filled > cores else df.repartition(cores)
 
 
 def raw_prompts(spark: SparkSession, path: str) -> DataFrame:
