@@ -234,7 +234,7 @@ SQL: dict[str, str] = {
     "scrub_no_text": f"WITH {COMPOSED} SELECT doc_id, {scrub('planted')} AS prompt FROM planted",
     "resume_pending": "SELECT doc_id, source FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)",
     "require_artifact": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')",
-    "metadata_manifest": f"""WITH m AS (SELECT l_orderkey AS k, 'meta/' || l_partkey AS video, l_linestatus AS prompt FROM lineitem WHERE l_returnflag = 'A' QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC) = 1)
+    "metadata_manifest": f"""WITH m AS (SELECT l_orderkey AS k, 'meta/' || l_partkey AS video, l_linestatus AS prompt FROM lineitem WHERE l_returnflag = 'A' QUALIFY row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, 'meta/' || l_partkey DESC, l_linestatus DESC) = 1)
       SELECT CAST(o.o_orderkey AS VARCHAR) AS prompt_id, {METADATA} FROM orders o LEFT JOIN m ON m.k = o.o_orderkey""",
     "verify_artifacts": """WITH a AS (SELECT l_orderkey FROM lineitem WHERE l_shipdate < '1998-01-01'), miss AS (SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM a))
       SELECT (SELECT COUNT(*) FROM orders) AS record_count, (SELECT COUNT(*) FROM a) AS artifact_count, (SELECT COUNT(*) FROM miss) AS missing_count, COALESCE((SELECT string_agg(o_orderkey, ',' ORDER BY o_orderkey) FROM (SELECT * FROM miss ORDER BY 1 LIMIT 20)), '') AS missing, (SELECT COUNT(*) FROM miss) = 0 AS ok""",

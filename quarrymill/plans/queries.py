@@ -273,7 +273,7 @@ def order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metadata_manifest(spark, sf_dir):
     items = table(spark, sf_dir, "lineitem").where("l_returnflag = 'A'")
     rows = items.select(F.col("l_orderkey").alias("prompt_id"), F.col("l_linenumber").alias("n"), F.concat(F.lit("meta/"), F.col("l_partkey")).alias("video"), F.col("l_linestatus").alias("prompt"), *(F.lit("").alias(f) for f in manifests.FIELDS if f not in ("prompt_id", "video", "prompt")))
-    return manifests.prefer_metadata(order_records(spark, sf_dir), manifests.last_of_each(rows, "prompt_id", ["n"]))
+    return manifests.prefer_metadata(order_records(spark, sf_dir), manifests.last_of_each(rows, "prompt_id", ["n", "video", "prompt"]))
 
 
 @query

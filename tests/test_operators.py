@@ -104,7 +104,7 @@ def test_json_sources_and_sinks(spark, tmp_path):
     assert sorted(r[0] for r in io.existing_ids(spark, path).collect()) == ["x", "y"] and io.existing_ids(spark, path + "no").count() == 0
     assert io.count_lines(spark, path) == 3 and io.count_lines(spark, path + "no") == 0
     assert io.jsonl(spark, path, "prompt_id string", limit=1).count() == 1
-    io.write_jsonl(spark.createDataFrame([("é", None)], "a string, b string"), str(tmp_path / "out"))
+    io.write_jsonl(spark.createDataFrame([("é", None)], "a string, b string").coalesce(1), str(tmp_path / "out"))
     assert (next((tmp_path / "out").glob("part*"))).read_text() == '{"a":"é"}\n'
     with pytest.raises(Exception, match="already exists"):
         io.write_jsonl(spark.range(1), str(tmp_path / "out"))
@@ -125,7 +125,7 @@ def test_sidecars_tolerate_broken_files(spark, tmp_path):
 
 
 def test_csv_sinks_and_last_row(spark, tmp_path):
-    io.write_csv(spark.createDataFrame([("v", "p, q", "a")], "video string, prompt string, prompt_id string"), str(tmp_path / "m"))
+    io.write_csv(spark.createDataFrame([("v", "p, q", "a")], "video string, prompt string, prompt_id string").coalesce(1), str(tmp_path / "m"))
     part = next((tmp_path / "m").glob("part*"))
     assert part.read_text().splitlines() == [",".join(manifests.FIELDS), 'v,"p, q",,a,,,,,,,,,,']
     part.write_text(part.read_text() + "v2,new,,a,,,,,,,,,,\n")
