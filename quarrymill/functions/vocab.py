@@ -77,6 +77,7 @@ COMMAND = r"(?:^|\s)--?[a-z][\w-]*(?:\s+[^,\.;]+)?"
 NO_TEXT_SENTENCE = r"\s*(?:ensure|make sure|avoid|with)\s+no\s+(?:readable\s+|visible\s+)?(?:text|logos?|signage|watermarks?)[^.;]*(?:[.;]|$)"
 NO_TEXT_INLINE = r"\s*,?\s*(?:and\s+)?no\s+(?:readable\s+|visible\s+)?(?:text|logos?|signage|watermarks?)[^.;,]*"
 
+# Fixed defaults.
 NEGATIVE_PROMPT = "low quality, blurry details, text overlay, watermark, logo, overexposed, underexposed, frozen motion, duplicate subject, deformed hands, malformed face, jittery camera, cluttered background"
 SAFETY_COLUMNS = ("toxicity", "obscene", "identity_attack", "insult", "threat", "sexual_explicit")
 

@@ -13,8 +13,12 @@ from quarrymill.functions import vocab
 from quarrymill.functions.text import col, hash_pick
 from quarrymill.operators.filters import rewrite_error
 
+# Fixed values of the dry run: its choices and the sentence around the prompt.
 CAMERAS = ["a locked medium shot", "a gentle forward push-in", "a wide establishing shot"]
 LIGHTS = ["soft natural light", "warm afternoon light", "balanced cinematic lighting"]
+ACTION = ". Over five seconds, the main subject performs one clear, continuous action while the background remains coherent. The camera uses "
+CONSISTENCY = ". Keep the subject appearance, scene layout, and motion direction consistent across the clip."
+
 REPLY = "prompt string, reject boolean, reject_reason string, tags map<string,string>"
 
 
@@ -24,7 +28,7 @@ def dry_run(prompt: Column | str, key: str, seed: int) -> Column:
     animated = F.lower(text).rlike("|".join(vocab.ANIMATED))
     pick = lambda slot, values: F.element_at(F.array(*map(F.lit, values)), (hash_pick(seed, key, slot, len(values)) + 1).cast("int"))
     style = F.when(animated, "Stylized animation video").otherwise("Realistic video")
-    return F.concat(style, F.lit(". "), text, F.lit(". Over five seconds, the main subject performs one clear, continuous action while the background remains coherent. The camera uses "), pick("camera", CAMERAS), F.lit(" with "), pick("light", LIGHTS), F.lit(". Keep the subject appearance, scene layout, and motion direction consistent across the clip."))
+    return F.concat(style, F.lit(". "), text, F.lit(ACTION), pick("camera", CAMERAS), F.lit(" with "), pick("light", LIGHTS), F.lit(CONSISTENCY))
 
 
 def reply_json(text: Column | str) -> Column:

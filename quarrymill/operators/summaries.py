@@ -23,6 +23,11 @@ def word_lengths(df: DataFrame, text: str = "prompt") -> DataFrame:
     return df.agg(F.count("*").alias("records"), F.coalesce(F.min(n), F.lit(0)).alias("min_words"), F.coalesce(F.max(n), F.lit(0)).alias("max_words"), F.coalesce(F.round(F.avg(n), 2), F.lit(0.0)).alias("avg_words"))
 
 
+def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
+    """One row: the different values of a column of few values, in order, comma-joined under the column's plural."""
+    return df.groupBy(column).count().agg(F.array_join(F.array_sort(F.collect_list(column)), ",").alias(f"{column}s"))
+
+
 def reason_counts(df: DataFrame, reason: str = "reason") -> DataFrame:
     return df.groupBy(F.coalesce(F.col(reason), F.lit("accepted")).alias("reason")).agg(F.count("*").alias("n"))
 

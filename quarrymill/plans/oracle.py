@@ -220,6 +220,11 @@ SQL: dict[str, str] = {
       SELECT doc_id, split, source_bucket, printf('pb_%s_%08d', split, row_number() OVER (PARTITION BY split ORDER BY {order('doc_id', SEED + 1)}, doc_id) - 1) AS prompt_id FROM s""",
     "quota_final_select": f"{TAGGED}, {quota('tagged', 100, 0.3)} SELECT doc_id, source_bucket, in_quota, row_number() OVER (ORDER BY {order('doc_id', SEED + 1)}, doc_id) - 1 AS index FROM final WHERE place <= 100",
     "quota_shortage": f"WITH rare AS (SELECT doc_id, CASE WHEN doc_id % 50 = 0 THEN 'motion_rich' ELSE 'natural' END AS source_bucket FROM documents), {quota('rare', 80, 0.9)} SELECT source_bucket, in_quota, COUNT(*) AS n FROM final WHERE place <= 80 GROUP BY 1, 2",
+    "render_plan": f"""SELECT printf('doc_%08d', doc_id) AS prompt_id, CASE WHEN doc_id % 5 > 0 THEN doc_id ELSE 0 END + 100 AS seed, CASE WHEN doc_id % 3 = 0 THEN 'fog' ELSE {q(vocab.NEGATIVE_PROMPT)} END AS negative_prompt,
+      printf('videos/doc_%08d.mp4', doc_id) AS video_path, n % 8 AS rank, (n // 8) // 4 AS batch, 480 AS height, 6.0::DOUBLE AS cfg_scale FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))""",
+    "render_outcomes": """SELECT rank, COUNT(*) AS items, CAST(sum(c) AS BIGINT) AS batch_sizes FROM (SELECT n % 8 AS rank, COUNT(*) OVER (PARTITION BY n % 8, (n // 8) // 4) AS c FROM
+      (SELECT row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels))) GROUP BY rank""",
+    "subject_groups": f"WITH {COMPOSED} SELECT string_agg(DISTINCT subject_group, ',' ORDER BY subject_group) AS subject_groups FROM composed",
     "stride_shard": "SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) % 8 AS shard FROM documents",
     "batch_chunk": "SELECT (n // 16)::BIGINT AS batch, COUNT(*) AS n, min(doc_id) AS first_id FROM (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS n FROM documents) GROUP BY 1",
     "worker_permutation": "SELECT o_orderkey, ('0x' || substr(sha1(k), 1, 12))::BIGINT AS stable_int FROM (SELECT o_orderkey, sha1('worker-3:2:' || o_orderkey) AS k FROM orders) ORDER BY k, o_orderkey LIMIT 100",

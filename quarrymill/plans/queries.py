@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrymill.functions import tags, text
-from quarrymill.operators import compose, filters, leases, manifests, qc, rewrite, sampling, summaries
+from quarrymill.operators import compose, filters, leases, manifests, qc, render, rewrite, sampling, summaries
 from quarrymill.plans import pipeline
 from quarrymill.sources.io import parquet_table as table
 from quarrymill.streaming import leases as stream
@@ -182,6 +182,31 @@ def quota_shortage(spark, sf_dir):
     return out.groupBy("source_bucket", "in_quota").agg(F.count("*").alias("n"))
 
 
+@query
+def render_plan(spark, sf_dir):
+    """Documents to render, those with a label being finished: seeds, paths, ranks and batches."""
+    records = table(spark, sf_dir, "documents").select(F.format_string("doc_%08d", "doc_id").alias("prompt_id"), F.when(F.col("doc_id") % 5 > 0, F.col("doc_id")).alias("seed_hint"), F.when(F.col("doc_id") % 3 == 0, "fog").otherwise("").alias("negative_prompt"))
+    done = table(spark, sf_dir, "labels").select(F.format_string("doc_%08d", "doc_id").alias("prompt_id"))
+    out = render.plan(records, done, render.RenderOptions(batch_size=4, seed_offset=100), world=8)
+    return out.select("prompt_id", "seed", "negative_prompt", "video_path", "rank", "batch", "height", "cfg_scale")
+
+
+@query
+def render_outcomes(spark, sf_dir):
+    """A dry run of the plan: finished items by rank."""
+    records = table(spark, sf_dir, "documents").select(F.format_string("doc_%08d", "doc_id").alias("prompt_id"), F.col("doc_id").alias("seed_hint"), F.lit("").alias("negative_prompt"))
+    done = table(spark, sf_dir, "labels").select(F.format_string("doc_%08d", "doc_id").alias("prompt_id"))
+    options = render.RenderOptions(batch_size=4)
+    planned = render.plan(records, done, options, world=8)
+    finished = render.sidecars(planned, render.render(planned, options=options))
+    return finished.groupBy("rank").agg(F.count("*").alias("items"), F.sum(F.col("batch_size").cast("long")).alias("batch_sizes"))
+
+
+@query
+def subject_groups(spark, sf_dir):
+    return summaries.distinct_sorted(composed(spark, sf_dir), "subject_group")
+
+
 @query
 def stride_shard(spark, sf_dir):
     placed = sampling.numbered(table(spark, sf_dir, "documents").select("doc_id"), ["doc_id"])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarrymill.functions import tags
-from quarrymill.operators import compose, leases, manifests, sampling, summaries
+from quarrymill.operators import compose, leases, manifests, render, sampling, summaries
 from quarrymill.plans import pipeline
 from quarrymill.sources import io
 from quarrymill.streaming import leases as stream
@@ -92,6 +92,26 @@ def test_claims_and_commits(spark):
     assert got == {"a": "ok", "b": "lost_lock_after_render", "c": "completed_elsewhere"}
 
 
+def test_render_gives_each_item_a_status(spark):
+    records = spark.createDataFrame([(f"p{i}", i, None) for i in range(10)], "prompt_id string, seed_hint long, negative_prompt string")
+    options = render.RenderOptions(batch_size=4, max_items=9, max_attempts=2)
+    planned = render.plan(records, spark.createDataFrame([("p1",)], "prompt_id string"), options, world=2)
+    assert planned.count() == 8 and {r["rank"] for r in planned.collect()} == {0, 1}
+
+    def renderer(items):
+        if any(i["prompt_id"] == "p3" for i in items):
+            raise OSError("no memory")
+        return render.dry_run(items)
+
+    got = {r.prompt_id: r for r in render.render(planned, renderer, options).collect()}
+    assert len(got) == 8 and got["p3"].status == "failed" and "no memory" in got["p3"].error and got["p3"].content is None
+    assert all(r.status == "ok" and bytes(r.content).startswith(b"dry run p") for k, r in got.items() if k != "p3")
+    done = render.sidecars(planned, render.render(planned, renderer, options))
+    assert done.count() == 7 and "content" not in done.columns
+    again = render.plan(records, done, options, world=2)
+    assert sorted(r.prompt_id for r in again.collect()) == ["p1", "p3"]
+
+
 def test_csv_source(spark, tmp_path):
     (tmp_path / "raw.csv").write_text('uuid,prompt,toxicity,extra\n1,"two\nlines ""q""",0.5,x\n2,,nan,y\n3,short\n')
     got = {r.uuid: r for r in io.raw_prompts(spark, str(tmp_path / "raw.csv")).collect()}
