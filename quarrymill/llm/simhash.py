@@ -233,7 +233,8 @@ def keep_one(docs: DataFrame, width: int = 3, radius: int = 2, reach: int = 12,
     texts = materialise(stands.select("fp", "k.k1", "k.k2").join(keyed, ["k1", "k2"]).select("fp", "text").dropDuplicates(["fp"]), "dedup-texts")
     kept = materialise(edges.where(close).select("a", "b").unionByName(alike(wide, texts, shingle, similarity)), "dedup-edges")
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")
-    first = marked.join(with_component(marked, kept), "fp").groupBy("component").agg(F.min(rank).alias("f"))
+    best = marked.groupBy("fp").agg(F.min(rank).alias("f"))  # copies meet here, in part before the shuffle
+    first = best.join(with_component(marked, kept), "fp").groupBy("component").agg(F.min("f").alias("f"))
     rows = carried(docs, *row_key()).join(first.select("f.k1", "f.k2"), ["k1", "k2"], "left_semi")
     equal = Window.partitionBy("k1", "k2").orderBy(F.xxhash64("carried"))
     return restored(rows.withColumn("nth", F.row_number().over(equal)).where("nth = 1"), docs)
