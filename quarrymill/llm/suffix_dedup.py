@@ -21,6 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -220,14 +221,24 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
     wanted = dealt.join(verdicts, ["h", "g"]).select("k1", "k2", F.struct("lo", "hi", "at", "h", "settled", F.when(F.col("k1") == F.col("stands"), F.col("how")).otherwise(0).alias("how")).alias("r"))
     wanted = materialise(wanted.where("r.settled OR r.how > 0").groupBy("k1", "k2").agg(F.collect_list("r").alias("r")), "suffix-runs")
 
-    pieces = keyed.select("k1", "k2", "text").join(wanted.select("k1", "k2", F.filter("r", lambda r: r["how"] > 0).alias("r")).where("size(r) > 0"), ["k1", "k2"])
+    # texts travel as zstd frames, a third of their size; both joins below bring them together with verdicts
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compress = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            frames = pa.array([compress(raw) for raw in arrow_blobs(batch.column(3))], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], frames], names=["doc_id", "k1", "k2", "text"])
+
+    packed = keyed.select("doc_id", "k1", "k2", "text").mapInArrow(pack, "doc_id long, k1 long, k2 long, text binary")
+    pieces = packed.select("k1", "k2", "text").join(wanted.select("k1", "k2", F.filter("r", lambda r: r["how"] > 0).alias("r")).where("size(r) > 0"), ["k1", "k2"])
     pieces = pieces.select("k1", "k2", "text", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi"), F.col("r.at").alias("at"), F.col("r.h").alias("h"), F.col("r.how").alias("how"), F.col("r.settled").alias("settled"))
 
     def snip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([(c, pa.int64()) for c in ("k1", "k2", "h")] + [("how", pa.int32()), ("lo", pa.int32()), ("at", pa.int32()), ("settled", pa.bool_()), ("piece", pa.binary())])
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             rows = []
-            for k1, k2, lo, hi, at, h, how, settled, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6, 7, 8)), arrow_blobs(batch.column(2)), strict=True):
+            for k1, k2, lo, hi, at, h, how, settled, raw in zip(*(batch.column(i).to_pylist() for i in (0, 1, 3, 4, 5, 6, 7, 8)), map(unpack, arrow_blobs(batch.column(2))), strict=True):
                 seen = set()
                 for a, b, place, anchor, kind, done in zip(lo, hi, at, h, how, settled, strict=True):
                     piece = raw[a : b + length]
@@ -308,13 +319,14 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
     found = solved.unionByName(counted).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("more"))
     known = wanted.select("k1", "k2", F.filter("r", lambda r: r["settled"]).alias("r"))
     marks = known.join(found, ["k1", "k2"], "full_outer").select("k1", "k2", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi"), F.col("more.lo").alias("lo2"), F.col("more.hi").alias("hi2"))
-    joined = keyed.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "lo", "hi", "lo2", "hi2")
+    joined = packed.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "lo", "hi", "lo2", "hi2")
     result = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             rows = []
-            for doc_id, lo, hi, lo2, hi2, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5)), arrow_blobs(batch.column(1)), strict=True):
+            for doc_id, lo, hi, lo2, hi2, raw in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3, 4, 5)), map(unpack, arrow_blobs(batch.column(1))), strict=True):
                 removed, count, kept, at = 0, 0, hashlib.sha256(), 0
                 end = -1
                 for a, b in sorted(zip((lo or []) + (lo2 or []), (hi or []) + (hi2 or []), strict=True)):
