@@ -10,8 +10,12 @@ Copies never multiply: the join runs on distinct fingerprints only. A crowded ce
 to blocks, each pair of blocks is a group of bounded size in one task, and a task returns only a minimum spanning
 forest of the links it finds, which keeps the components at every radius and has fewer edges than fingerprints.
 
-`near_groups` links by Hamming distance alone. `keep_one` goes further: with a wider radius, whose grid finds most but
-not all links beyond groups - agree bits, it also links texts whose word shingles are similar, verified on the texts.
+`near_groups` links by Hamming distance alone. `keep_one` goes further: it also links all texts whose sets of word shingles
+have a Jaccard similarity of at least `least`. In any one order of all shingles, the first n - ceil(least * n) + 1 of two
+such sets have one in common, so lists of the texts by each of these shingles hold every pair. Shingles that a sample
+shows to be common come last in the order, which keeps common lines out of most lists. Each list's texts are first
+compared with one of them; once the components of what passed are known, all pairs that still lie in different ones are
+compared. A pair that fails never counts as linked, and every verdict is exact, on the texts.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.llm.common import arrow_blobs, carried, materialise, restored, row_key
@@ -30,6 +34,9 @@ from quarrymill.llm.components import components
 
 BLOCK = 2048  # fingerprints of one cell that meet in one task
 SMALL = 32  # cells up to this size are compared all at once
+SAMPLE = 16  # one text of so many is looked at for common shingles
+COMMON = 8  # texts of the sample that make a shingle common
+MOST = 1 << 18  # common shingles that the driver keeps, the most frequent ones
 
 
 def fingerprint(raw: bytes, width: int = 3) -> int:
@@ -50,18 +57,23 @@ def fingerprint(raw: bytes, width: int = 3) -> int:
     return int(np.packbits(counts * 2 > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def digest() -> Column:
+    """Equal texts have equal digests; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("t")
+
+
 def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
-    """doc_id, row keys and fp (a signed long with the fingerprint's bits) of every row; null, empty and blank texts
-    have 0."""
-    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "k1", "k2", "fp")])
+    """doc_id, row keys, t (the text's digest) and fp (a signed long with the fingerprint's bits) of every row; null, empty
+    and blank texts have fp 0."""
+    schema = pa.schema([(c, pa.int64()) for c in ("doc_id", "k1", "k2", "t", "fp")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.array([fingerprint(raw, width) for raw in arrow_blobs(batch.column(3))], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps, pa.int64())], schema=schema)
+            fps = np.array([fingerprint(raw, width) for raw in arrow_blobs(batch.column(4))], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fps, pa.int64())], schema=schema)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.select("doc_id", *row_key(), "text").mapInArrow(run, "doc_id long, k1 long, k2 long, fp long")
+    return rows.select("doc_id", *row_key(), digest(), "text").mapInArrow(run, "doc_id long, k1 long, k2 long, t long, fp long")
 
 
 def embedding(fps: np.ndarray, segment: int = 2) -> np.ndarray:
@@ -173,9 +185,136 @@ def shingles(raw: bytes, width: int) -> frozenset[bytes]:
     return frozenset(b" ".join(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
 
 
+def shingle_hashes(raw: bytes, width: int) -> np.ndarray:
+    """Hashes of the different shingles, sorted."""
+    words = raw.lower().split()
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words] or [0], np.uint64)
+    span = min(width, len(hashes))
+    out = hashes[: len(hashes) - span + 1].copy()
+    for k in range(1, span):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + hashes[k : len(hashes) - span + 1 + k]
+    out = (out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return np.unique((out ^ (out >> np.uint64(29))).view(np.int64))
+
+
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (sorted) and ranks (from 1, rarest first) of shingles that are common in a sample. They only change the
+    order of shingles, so what is linked does not depend on them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for raw in arrow_blobs(batch.column(0)):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_hashes(raw, width))], names=["h"])
+
+    sample = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), digest()).where(F.pmod("t", F.lit(SAMPLE)) == 0).select("text")
+    counts = sample.mapInArrow(run, "h long").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") >= COMMON)
+    top = counts.orderBy(F.desc("n"), "h").limit(MOST).toArrow().column("h").to_numpy()
+    order = np.argsort(top)
+    return top[order], (len(top) - order).astype(np.int64)
+
+
+def postings(docs: DataFrame, width: int, least: float, common: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """h, t, n, pos: the first shingles of each text, as many as two texts with a similarity of `least` can't both have
+    without one in common; n is the number of the text's shingles, pos the place in the order. Only shingles that
+    several texts share."""
+    schema = pa.schema([(c, pa.int64()) for c in ("h", "t", "n", "pos")])
+    known, ranks = common
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            found = []
+            for t, raw in zip(batch.column(0).to_pylist(), arrow_blobs(batch.column(1)), strict=True):
+                if t in seen:
+                    continue
+                seen.add(t)
+                h = shingle_hashes(raw, width)
+                n = len(h)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    h = h[np.argsort(np.where(known[at] == h, ranks[at], 0), kind="stable")]
+                h = h[: n - int(np.ceil(least * n - 1e-9)) + 1]
+                found.append((h, np.full(len(h), t), np.full(len(h), n), np.arange(len(h))))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found, strict=True)], schema=schema)
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, before = np.zeros((0, 4), np.int64), False
+        for batch in batches:
+            rows = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)])
+            if not len(rows):
+                continue
+            rows = rows[np.concatenate([[True], (rows[1:, :2] != rows[:-1, :2]).any(axis=1)])]
+            after = rows[1:, 0] == rows[:-1, 0]
+            joined = np.concatenate([[before], after])
+            keep = rows[:-1][joined[:-1] | after]
+            rest, before = rows[-1:], bool(joined[-1])
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in keep.T], schema=schema)
+        if before:
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rest.T], schema=schema)
+
+    columns = "h long, t long, n long, pos long"
+    dealt = docs.select(digest(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).mapInArrow(run, columns)
+    return dealt.repartition("h").sortWithinPartitions("h", "t").mapInArrow(shared, columns)
+
+
+def can_reach(n: np.ndarray | Column, pos: np.ndarray | Column, m: np.ndarray | Column, at: np.ndarray | Column, least: float) -> np.ndarray | Column:
+    """Whether texts of n and m shingles can be similar if their first common shingle is at these places."""
+    need = (n + m) * (least / (1 + least)) - 1e-6
+    return (n - pos >= need) & (m - at >= need) & (n >= m * least - 1e-6) & (m >= n * least - 1e-6)
+
+
+def crossing(lists: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of texts of one list that lie in different components and can be similar; lists: h, t, n, pos,
+    component. Lists of over `block` texts are cut to parts, and every pair of parts is a group."""
+    full = lists.groupBy("h").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    mine = F.pmod(F.xxhash64("t"), "parts").cast("int")
+    dealt = lists.join(full, "h").select("h", mine.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"), "component", "t", "n", "pos")
+    dealt = dealt.select("h", F.least("part", "other").cast("long").alias("p"), F.greatest("part", "other").cast("long").alias("q"), "component", "t", "n", "pos", F.col("part").cast("long").alias("part"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = np.zeros((0, 8), np.int64)
+        for batch in batches:
+            rest = np.concatenate([rest, np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)])
+            if not len(rest):
+                continue
+            last = int((rest[:, :3] == rest[-1, :3]).all(axis=1).argmax())
+            if last:
+                yield from solve(rest[:last])
+                rest = rest[last:]
+        if len(rest):
+            yield from solve(rest)
+
+    def ends(rows: np.ndarray) -> np.ndarray:
+        """For each row, where its run of equal rows ends."""
+        cuts = np.concatenate([np.flatnonzero((rows[1:] != rows[:-1]).any(axis=1)) + 1, [len(rows)]])
+        return np.repeat(cuts, np.diff(cuts, prepend=0))
+
+    def solve(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        stop, to = ends(rows[:, :3]), ends(rows[:, :4])
+        p, q, t, n, pos, part = (rows[:, i] for i in (1, 2, 4, 5, 6, 7))
+        here, found, many = np.flatnonzero(to < stop), [], 0
+        to = to[here]
+        while len(here):
+            ok = can_reach(n[here], pos[here], n[to], pos[to], least) & ((p[here] == q[here]) | (part[here] != part[to]))
+            found.append(np.stack([t[here[ok]], t[to[ok]]]))
+            many += len(found[-1][0])
+            to = to + 1
+            more = to < stop[here]
+            here, to = here[more], to[more]
+            if many > 100_000 or not len(here):
+                a, b = np.concatenate(found, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], schema=schema)
+                found, many = [], 0
+
+    order = ["h", "p", "q", "component", "t"]
+    return dealt.repartition("h", "p", "q").sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
+
+
 def alike(edges: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
-    """The edges (a, b) whose texts (fp, text; one per fingerprint) have a Jaccard similarity of at least `least` on
-    shingles of `width` words."""
+    """The fingerprints (a, b) of the edges (a, b: digests) whose texts (t, fp, text; one per digest) have a Jaccard
+    similarity of at least `least` on shingles of `width` words."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,9 +326,9 @@ def alike(edges: DataFrame, texts: DataFrame, width: int, least: float) -> DataF
                 keep.append(both >= least * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays(list(batch.filter(pa.array(keep, pa.bool_())).columns[:2]), schema=schema)
 
-    left = edges.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a")
-    both = left.join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
+    left = edges.join(texts.select(F.col("t").alias("a"), F.col("fp").alias("fp_a"), F.col("text").alias("text_a")), "a")
+    both = left.join(texts.select(F.col("t").alias("b"), F.col("fp").alias("fp_b"), F.col("text").alias("text_b")), "b")
+    return both.where("fp_a <> fp_b").select("fp_a", "fp_b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
 def with_component(marked: DataFrame, edges: DataFrame) -> DataFrame:
@@ -215,23 +354,36 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 2, groups: int =
     return marked.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, width: int = 3, radius: int = 2, reach: int = 12, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+def similar(docs: DataFrame, marked: DataFrame, close: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Edges (a, b) between fingerprints that, with those of close, keep the components of all pairs of texts with a
+    similarity of at least `least`."""
+    lists = materialise(postings(docs, shingle, least, common_shingles(docs, shingle)), "dedup-lists")
+    nodes = marked.groupBy("t").agg(F.min("fp").alias("fp"), F.min(F.struct("k1", "k2")).alias("k"))
+    nodes = materialise(nodes.join(lists.select("t").distinct(), "t", "left_semi").select("t", "fp", "k.k1", "k.k2"), "dedup-nodes")
+    keyed = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *row_key())
+    texts = materialise(nodes.join(keyed, ["k1", "k2"]).select("t", "fp", "text").dropDuplicates(["t"]), "dedup-texts")
+    center = lists.groupBy("h").agg(F.min(F.struct("pos", "t", "n")).alias("c"))
+    fits = can_reach(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos"), least)
+    stars = lists.join(center, "h").where(F.col("t") != F.col("c.t")).where(fits)
+    tried = materialise(stars.select(F.least("t", "c.t").alias("a"), F.greatest("t", "c.t").alias("b")).distinct(), "dedup-tried")
+    passed = materialise(alike(tried, texts, shingle, least), "dedup-passed")
+    labels = with_component(marked, close.unionByName(passed))
+    labelled = lists.join(nodes.join(labels, "fp").select("t", "component"), "t")
+    mixed = labelled.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
+    rest = crossing(materialise(labelled.join(mixed, "h"), "dedup-open"), least).join(tried, ["a", "b"], "left_anti")
+    return passed.unionByName(materialise(alike(materialise(rest, "dedup-rest"), texts, shingle, least), "dedup-more"))
+
+
+def keep_one(docs: DataFrame, width: int = 3, radius: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one document of each group of near-duplicates: that of the smallest doc_id; all columns are kept.
 
-    Fingerprints (of `width` words) link within `radius` bits, and up to `reach` bits if texts that have them share at
-    least `similarity` of their shingles of `shingle` words. The wider grid (2 of 8 groups of one-bit segments) holds
-    all links of up to 6 bits and most of the wider ones; in a crowded cell, texts are compared along the forest of
-    nearest fingerprints. Rows without a doc_id come last when the one to stay is chosen; of rows equal in doc_id and
-    text one stays. An empty table stays empty.
+    Texts link if their fingerprints (of `width` words) differ in at most `radius` bits, or if they share at least
+    `similarity` of their shingles of `shingle` words; no such pair is left out. Rows without a doc_id come last when the
+    one to stay is chosen; of rows equal in doc_id and text one stays. An empty table stays empty.
     """
     marked = materialise(fingerprints(docs, width), "dedup")
-    edges = materialise(links(marked.select("fp").distinct(), reach, 8, 2, 1), "dedup-links")
-    close = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    wide = edges.where(~close)
-    stands = wide.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(marked.groupBy("fp").agg(F.min(F.struct("k1", "k2")).alias("k")), "fp")
-    keyed = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *row_key())
-    texts = materialise(stands.select("fp", "k.k1", "k.k2").join(keyed, ["k1", "k2"]).select("fp", "text").dropDuplicates(["fp"]), "dedup-texts")
-    kept = materialise(edges.where(close).select("a", "b").unionByName(alike(wide, texts, shingle, similarity)), "dedup-edges")
+    close = materialise(links(marked.select("fp").distinct(), radius), "dedup-links")
+    kept = close.unionByName(similar(docs, marked, close, shingle, similarity))
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")
     best = marked.groupBy("fp").agg(F.min(rank).alias("f"))  # copies meet here, in part before the shuffle
     first = best.join(with_component(marked, kept), "fp").groupBy("component").agg(F.min("f").alias("f"))

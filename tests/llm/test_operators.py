@@ -318,6 +318,33 @@ def test_keep_one_finds_near_copies_and_leaves_others(spark):
     assert len(alike) > 150 and len(set(alike) & kept) <= 0.1 * len(alike)
 
 
+def slow_keep_similar(rows):
+    """slow_keep without a limit on the fingerprints of similar texts."""
+    prints, sets = [slow_fingerprint(r[1]) for r in rows], [simhash.shingles(raw(r[1]), 5) for r in rows]
+    group = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and ((prints[i] ^ prints[j]).bit_count() <= 2 or len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])):
+                group = [group[j] if g == group[i] else g for g in group]
+    return collections.Counter(min(r[0] for r, g in zip(rows, group, strict=True) if g == label) for label in set(group))
+
+
+def test_keep_one_finds_every_similar_pair(spark):
+    """Single pairs at just over 0.8: about one in eight lay beyond the fingerprints' grid."""
+    rng, rows = random.Random(5), []
+    for size, changes in [(40, 1), (100, 2), (300, 6), (1000, 20)]:
+        for _ in range(30):
+            text = [f"{rng.randrange(10**6)}" for _ in range(size)]
+            other = list(text)
+            for at in rng.sample(range(size // 10), changes) if changes > 1 else [0]:
+                other[at * 10 + (4 if changes > 1 else 3)] = f"new{rng.randrange(10**6)}"
+            rows += [(len(rows), " ".join(text), "en", "a"), (len(rows) + 1, " ".join(other), "en", "a")]
+    want = slow_keep_similar(rows)
+    sets = [simhash.shingles(raw(r[1]), 5) for r in rows]
+    assert sum(len(x & y) >= 0.8 * len(x | y) for x, y in zip(sets[::2], sets[1::2], strict=True)) == 120 == len(want)
+    assert collections.Counter(r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()) == want
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 900), (900, 950)] + [(5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
