@@ -36,6 +36,7 @@ BLOCK = 2048  # fingerprints of one cell that meet in one task
 SMALL = 32  # cells up to this size are compared all at once
 SAMPLE = 16  # one text of so many is looked at for common shingles
 COMMON = 8  # texts of the sample that make a shingle common
+BUCKETS = 256  # counts in a text's sketch
 MOST = 1 << 18  # common shingles that the driver keeps, the most frequent ones
 
 
@@ -312,6 +313,42 @@ def crossing(lists: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
     return dealt.repartition("h", "p", "q").sortWithinPartitions(*order).mapInArrow(run, "a long, b long").distinct()
 
 
+def sketches(texts: DataFrame, width: int) -> DataFrame:
+    """t, fp, sketch: how many of the text's shingles fall in each of BUCKETS buckets, a byte each; null if one has more
+    than a byte holds."""
+    schema = pa.schema([("t", pa.int64()), ("fp", pa.int64()), ("sketch", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = (np.bincount([xxhash.xxh64_intdigest(s) % BUCKETS for s in shingles(raw, width)], minlength=BUCKETS) for raw in arrow_blobs(batch.column(2)))
+            found = [c.astype(np.uint8).tobytes() if c.max() < 256 else None for c in counts]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], schema=schema)
+
+    return texts.select("t", "fp", "text").mapInArrow(run, "t long, fp long, sketch binary")
+
+
+def possible(edges: DataFrame, sketched: DataFrame, least: float) -> DataFrame:
+    """The edges (a, b: digests) between different fingerprints without those that can't be similar: two texts share at
+    most the smaller count of each bucket, an upper bound that never loses a similar pair."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                if left is None or right is None:
+                    keep.append(True)
+                    continue
+                x, y = np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)
+                both = int(np.minimum(x, y).sum(dtype=np.int64))
+                keep.append(both >= least * (int(x.sum(dtype=np.int64)) + int(y.sum(dtype=np.int64)) - both))
+            yield pa.RecordBatch.from_arrays(list(batch.filter(pa.array(keep, pa.bool_())).columns[:2]), schema=schema)
+
+    left = edges.join(sketched.select(F.col("t").alias("a"), F.col("fp").alias("fp_a"), F.col("sketch").alias("s_a")), "a")
+    both = left.join(sketched.select(F.col("t").alias("b"), F.col("fp").alias("fp_b"), F.col("sketch").alias("s_b")), "b")
+    return both.where("fp_a <> fp_b").select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
+
+
 def alike(edges: DataFrame, texts: DataFrame, width: int, least: float) -> DataFrame:
     """The fingerprints (a, b) of the edges (a, b: digests) whose texts (t, fp, text; one per digest) have a Jaccard
     similarity of at least `least` on shingles of `width` words."""
@@ -362,16 +399,17 @@ def similar(docs: DataFrame, marked: DataFrame, close: DataFrame, shingle: int,
     nodes = materialise(nodes.join(lists.select("t").distinct(), "t", "left_semi").select("t", "fp", "k.k1", "k.k2"), "dedup-nodes")
     keyed = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *row_key())
     texts = materialise(nodes.join(keyed, ["k1", "k2"]).select("t", "fp", "text").dropDuplicates(["t"]), "dedup-texts")
+    sketched = materialise(sketches(texts, shingle), "dedup-sketches")
     center = lists.groupBy("h").agg(F.min(F.struct("pos", "t", "n")).alias("c"))
     fits = can_reach(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos"), least)
     stars = lists.join(center, "h").where(F.col("t") != F.col("c.t")).where(fits)
     tried = materialise(stars.select(F.least("t", "c.t").alias("a"), F.greatest("t", "c.t").alias("b")).distinct(), "dedup-tried")
-    passed = materialise(alike(tried, texts, shingle, least), "dedup-passed")
+    passed = materialise(alike(materialise(possible(tried, sketched, least), "dedup-possible"), texts, shingle, least), "dedup-passed")
     labels = with_component(marked, close.unionByName(passed))
     labelled = lists.join(nodes.join(labels, "fp").select("t", "component"), "t")
     mixed = labelled.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
     rest = crossing(materialise(labelled.join(mixed, "h"), "dedup-open"), least).join(tried, ["a", "b"], "left_anti")
-    return passed.unionByName(materialise(alike(materialise(rest, "dedup-rest"), texts, shingle, least), "dedup-more"))
+    return passed.unionByName(materialise(alike(materialise(possible(rest, sketched, least), "dedup-rest"), texts, shingle, least), "dedup-more"))
 
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:

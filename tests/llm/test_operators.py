@@ -345,6 +345,19 @@ def test_keep_one_finds_every_similar_pair(spark):
     assert collections.Counter(r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()) == want
 
 
+def test_keep_one_of_a_crowded_family(spark, monkeypatch):
+    """One base and 200 variants: many are nearer in bits to another variant than to the one they are similar to."""
+    monkeypatch.setattr(simhash, "SMALL", 1)
+    rng = random.Random(8)
+    base, rows = [f"{rng.randrange(10**6)}" for _ in range(120)], []
+    for i in range(201):
+        text = list(base)
+        for at in rng.sample(range(12), min(i, 1 + i % 4)):
+            text[at * 10 + 4] = f"new{rng.randrange(10**6)}"
+        rows.append((i, " ".join(text), "en", "a"))
+    assert collections.Counter(r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()) == slow_keep_similar(rows)
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 900), (900, 950)] + [(5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
