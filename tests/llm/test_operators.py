@@ -358,6 +358,17 @@ def test_keep_one_of_a_crowded_family(spark, monkeypatch):
     assert collections.Counter(r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()) == slow_keep_similar(rows)
 
 
+def test_keep_one_compares_every_text_of_a_fingerprint(spark):
+    """A repeated passage gives different texts one fingerprint; each of them has a similar text without the repeats."""
+    rng = random.Random(3)
+    passage, rows = [f"{rng.randrange(10**6)}" for _ in range(11)], []
+    for _ in range(4):
+        own = [f"{rng.randrange(10**6)}" for _ in range(60)]
+        rows += [(len(rows), " ".join(passage * 60 + own), "en", "a"), (len(rows) + 1, " ".join(passage + own), "en", "a")]
+    assert len({slow_fingerprint(r[1]) for r in rows[::2]}) == 1
+    assert collections.Counter(r.doc_id for r in simhash.keep_one(documents(spark, rows)).collect()) == slow_keep_similar(rows) == {0: 1}
+
+
 def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(1000, 900), (900, 950)] + [(5, 5)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
