@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions.tags import MOTION_RICH
 from quarrymill.functions.text import hash_order
+from quarrymill.sources.store import materialise
 
 
 def half_even(x: float) -> int:
@@ -72,13 +71,18 @@ def select_quota(df: DataFrame, target: int, ratio: float, seed: int, key: str,
 
 def numbered(df: DataFrame, order: list[str | Column], ranges: int | None = None) -> DataFrame:
     """df with n, the row's place from 0 in the given order, without bringing all rows to one task: rows are dealt to
-    ranges, numbered there, and shifted by the sizes of the ranges before."""
+    ranges, numbered there, and shifted by the sizes of the ranges before.
+
+    The dealt rows are a table in the shared folder, which both the rows and the sizes are read from: a second reading of
+    df would draw other range bounds. Rows equal in the order are numbered in any order."""
     spark = df.sparkSession
-    dealt = df.repartitionByRange(ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), *order).withColumn("_part", F.spark_partition_id())
-    local = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sizes = dealt.groupBy("_part").agg(F.count("*").alias("_size"))
-    before = sizes.select("_part", (F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))).alias("_before"))
-    return local.join(F.broadcast(before), "_part").withColumn("n", F.col("_n") - 1 + F.coalesce("_before", F.lit(0))).drop("_part", "_n", "_before")
+    dealt = df.repartitionByRange(ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), *order).sortWithinPartitions(*order)
+    placed = materialise(dealt.withColumn("_id", F.monotonically_increasing_id()), "numbered")  # range << 33 | place
+    within = F.lit((1 << 33) - 1)
+    sizes = placed.groupBy(F.shiftright("_id", 33).alias("_part")).agg(F.count("*").alias("_size"))
+    before = sizes.select("_part", F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)).alias("_before"))
+    local = placed.withColumn("_part", F.shiftright("_id", 33))
+    return local.join(F.broadcast(before), "_part").withColumn("n", F.col("_id").bitwiseAND(within) + F.coalesce("_before", F.lit(0))).drop("_part", "_id", "_before")
 
 
 def stride(n: Column | str, world: int) -> Column:
@@ -88,6 +92,3 @@ def stride(n: Column | str, world: int) -> Column:
 def batch(n: Column | str, size: int) -> Column:
     return F.floor((F.col(n) if isinstance(n, str) else n) / max(1, size))
 
-
-def pool_size(target: int, factor: float, extra: int) -> int:
-    return 0 if target <= 0 else max(target, math.ceil(target * factor), target + extra)

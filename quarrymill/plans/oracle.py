@@ -6,11 +6,10 @@ RE2 knows no look-behind and its \\b is ASCII, so whole words are matched by the
 from __future__ import annotations
 
 from quarrymill.functions import vocab
-from quarrymill.functions.text import split_seed
+from quarrymill.functions.text import pool_count, split_seed
 from quarrymill.operators.compose import PARTS, TAXONOMY
 from quarrymill.operators.manifests import FIELDS
 from quarrymill.operators.rewrite import CAMERAS, LIGHTS
-from quarrymill.operators.sampling import pool_size
 from quarrymill.plans.queries import MAX_WORDS, METRIC_COLUMNS, PLANTS, QC, SEED
 
 
@@ -171,7 +170,7 @@ METADATA = ", ".join(f"CASE WHEN m.k IS NOT NULL THEN {m} ELSE {b} END AS {f}" f
 
 def pipeline_sql(train: int, val: int, factor: float, extra: int) -> str:
     """The whole prompt pipeline over planted prompts, which are all motion-rich."""
-    pools = {n: pool_size(n, factor, extra) for n in (train, val)}
+    pools = {n: pool_count(n, factor, extra) for n in (train, val)}
     final = " UNION ALL ".join(
         f"""SELECT doc_id, split, printf('pb_{split}_%08d', i) AS prompt_id, prompt_id AS source_prompt_id, sc AS prompt, i AS index FROM
         (SELECT *, row_number() OVER (ORDER BY {order('prompt_id', split_seed(SEED, split) + 1)}, prompt_id) - 1 AS i FROM

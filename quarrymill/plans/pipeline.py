@@ -28,7 +28,7 @@ class PipelineOptions:
     rules: filters.CleanRules = field(default_factory=filters.CleanRules)
 
     def pool(self, split: str) -> int:
-        return sampling.pool_size(self.train if split == "train" else self.val, self.factor, self.extra)
+        return text.pool_count(self.train if split == "train" else self.val, self.factor, self.extra)
 
 
 def candidates(raw: DataFrame, prompt: str, key: str, unsafe: Column, rules: filters.CleanRules) -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions import tags
@@ -40,6 +41,15 @@ def test_numbering_without_one_partition(spark):
     assert sampling.numbered(spark.range(0), ["id"]).count() == 0
 
 
+def test_numbering_of_many_rows_with_other_columns(spark):
+    """Range bounds come from a sample here; two samples of one table would differ."""
+    df = spark.range(1_000_000).select((F.col("id") * 7919 % 1_000_003).alias("k"), F.md5(F.col("id").cast("string")).alias("payload")).repartition(7, "payload")
+    got = sampling.numbered(df, ["k"], 8)
+    assert got.columns == ["k", "payload", "n"]
+    checked = got.select("n", "k", F.lag("k").over(Window.orderBy("n")).alias("before"))
+    assert tuple(checked.agg(F.count_distinct("n"), F.min("n"), F.max("n"), F.count_if(F.col("before") >= F.col("k"))).first()) == (1_000_000, 0, 999_999, 0)
+
+
 def test_keep_first_and_limits(spark):
     df = spark.createDataFrame([(3, "a"), (1, "a"), (2, "b"), (5, None), (4, None)], "id long, h string")
     assert sorted(r.id for r in sampling.keep_first(df, "h", "id").collect()) == [1, 2, 4]
