@@ -423,15 +423,47 @@ def test_encoder_is_the_tokenizers_one(text):
     assert e.ids(text).tolist() == e.exact(text).tolist()
 
 
+@pytest.mark.parametrize("ch", [" ", "\n", "\t", "\u00a0", "x", "7", "!", "é", "漢", "😀", "\0", " a", "'s"])
+def test_encoder_takes_a_megabyte_of_anything(ch):
+    e = packing.encoder(packing.tokenizer_paths())
+    text = "first words " + ch * (1_000_000 // len(ch)) + " last words"
+    assert np.array_equal(e.ids(text), e.exact(text))
+
+
+def test_long_white_space_goes_through(spark):
+    from tokenizers import Tokenizer
+
+    rows = [(1, "a" + " " * 1_000_000 + "b", "en", "a"), (2, "\n" * 1_000_000, "en", "a"), (3, "c", "en", "a")]
+    t = Tokenizer.from_file(packing.tokenizer_paths()[0])
+    check_pieces(packing.pack(documents(spark, rows)).collect(), collections.Counter((r[0], (*t.encode(r[1], add_special_tokens=False).ids, 0)) for r in rows))
+
+
+def test_tiers_hold_documents_whole_and_steps_are_even(spark):
+    rng = random.Random(12)
+    rows = [(i, words(rng, rng.choice([5, 20, 40, 80, 160, 300])), "en", "a") for i in range(4000)]
+    got = packing.pack(documents(spark, rows).coalesce(1), buffer=800).collect()
+    sizes = collections.Counter(p.sequence_tokens for p in got if p.offset == 0)
+    assert sizes[1024] > 0 and sizes[512] > 0 and sizes[256] + sizes[128] > 0 and sum(n for k, n in sizes.items() if k < 128) <= 7
+    whole = [p for p in got if p.length == p.doc_tokens]
+    assert len(whole) > 0.75 * len(rows)  # one cut at most for each window
+    for p in whole:  # routed to a tier that holds it, or filling the gap of a longer one
+        assert p.sequence_tokens >= p.doc_tokens
+    steps = collections.defaultdict(collections.Counter)
+    for p in got:
+        steps[p.sequence_tokens][p.step_group] += p.length
+    assert all(n <= 8 * 1024 for k in (128, 256, 512, 1024) for n in steps[k].values())
+    assert all(max(steps[k].values()) - min(steps[k].values()) <= 8 * 1024 for k in steps)
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 5000), max_size=60), st.integers(1, 40))
 def test_packer_fills_everything(lengths, buffer):
-    packer = packing.Packer(1024, buffer)
+    packer = packing.Packer(packing.TIERS, buffer)
     for n, length in enumerate(lengths):
         packer.add((n, length), np.arange(length, dtype="<u4"))
     packer.finish()
     sizes = [sum(len(p[2]) for p in s) for s in packer.done]
-    assert sum(sizes) == sum(lengths) and all(s & (s - 1) == 0 and s <= 1024 for s in sizes) and sum(s < 1024 for s in sizes) <= 10
+    assert sum(sizes) == sum(lengths) and all(s & (s - 1) == 0 and s <= 1024 for s in sizes) and sum(s < 128 for s in sizes) <= 10
     seen = collections.defaultdict(list)
     for s in packer.done:
         for doc, start, ids in s:
