@@ -3,39 +3,21 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 import types
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.sources.io import parquet_table as table
+from quarrymill.sources.store import drop, materialise, shared_dir
 
 # Functions sent to executors carry their code along, so workers need no copy of this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
-__all__ = ["arrow_blobs", "carried", "materialise", "restored", "row_key", "shared_dir", "table", "to_batch", "worker_cache"]
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a temporary one where it is unset (tests)."""
-    place = spark.conf.get("spark.checkpoint.dir", None)
-    if not place:
-        place = tempfile.mkdtemp(prefix="quarrymill-")
-        spark.conf.set("spark.checkpoint.dir", place)
-    return place
-
-
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """df written to the shared folder and read back: cuts lineage, survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/quarrymill/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+__all__ = ["arrow_blobs", "carried", "drop", "materialise", "restored", "row_key", "shared_dir", "table", "to_batch", "worker_cache"]
 
 
 def worker_cache() -> dict:

@@ -582,6 +582,27 @@ def test_shards_are_even_and_groups_stay_together(spark):
     assert [len(p) for t, p in places.items() if len(p) > 1] == [len(places["hot " * 50])]
 
 
+@pytest.mark.parametrize("lot", [sharding.LOT, 300])
+def test_groups_below_a_shard_are_never_cut(spark, monkeypatch, lot):
+    """Groups of up to 0.8 of a shard in rows, some of them the largest in bytes; lots small enough to have several."""
+    monkeypatch.setattr(sharding, "LOT", lot)
+    monkeypatch.setattr(sharding, "HEAVY", 8)
+    rng = random.Random(9)
+    texts = [(words(rng, rng.randint(1, 60), 10**4), rng.choice([1, 1, 1, 2, 5])) for _ in range(2400)]
+    texts += [(words(rng, 30), 150), (words(rng, 3), 260), (words(rng, 900), 6), (None, 200), ("", 120)]
+    rows = [(i, t, None, None) for i, t in enumerate(t for t, n in texts for _ in range(n))]
+    got = sharding.shard_documents(documents(spark, rows), 20).collect()
+    places, sizes, counts = collections.defaultdict(set), collections.Counter(), collections.Counter()
+    for r in got:
+        places[rows[r.doc_id][1]].add(r.shard)
+        sizes[r.shard] += r["size"]
+        counts[r.shard] += 1
+    assert len(got) == len(rows) and max(map(len, places.values())) == 1 and 260 < len(rows) / 20
+    assert max(sizes.values()) - min(sizes.values()) < 0.01 * sum(sizes.values()) / 20
+    for shard in range(20):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(counts[shard]))
+
+
 # --- 8 language
 
 
