@@ -28,7 +28,6 @@ def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
-
 def unescape(text: Column | str) -> Column:
     """HTML entities resolved. Python sees only texts that hold `&` (others are sent as null); null stays null."""
     text = col(text)
@@ -124,3 +123,15 @@ def normalize_url(url: str) -> str:
 def first_value(config: dict, *keys: str) -> str:
     """The first value under keys that is not empty, as text."""
     return next((str(config[k]) for k in keys if config.get(k)), "")
+
+
+def config_value(document: Column | str, *keys: str) -> Column:
+    """`first_value` for a column of JSON documents: the first value under keys that is not empty, '' if there is none.
+    As there, false, 0 and null count as empty."""
+    found = (F.get_json_object(col(document), f"$.{key}") for key in keys)
+    return F.coalesce(*(F.when(~value.isin("", "false", "0", "0.0", "[]", "{}"), value) for value in found), F.lit(""))
+
+
+def to_frame(values: Column | str) -> Column:
+    """Samples from -1 to 1 as whole numbers from 0 to 255, clamped and rounded half to even; null samples stay null."""
+    return F.transform(col(values), lambda x: F.when(x.isNotNull(), F.bround((F.least(F.greatest(x.cast("double"), F.lit(-1.0)), F.lit(1.0)) + 1.0) * 127.5).cast("int")))

@@ -41,7 +41,8 @@ def compose(df: DataFrame, key: str, seed: int, taxonomy: dict = TAXONOMY) -> Da
     named |= {"subject_group": F.element_at(texts([g["name"] for g in groups]), group), "subject_type": F.element_at(texts([g["subject_type"] for g in groups]), group), "quality": F.slice(tagged, 1, 3)["q"]}
     out = df.withColumns(named)
     q = lambda i: F.element_at("quality", i)
-    sentence = F.concat(F.lit("A "), F.col("style"), F.lit(" of "), F.col("subject"), F.lit(" that "), F.col("action"), F.lit(" "), F.col("scene"), F.lit(". The shot uses "), F.col("camera"), F.lit(" with "), F.col("lighting"), F.lit(", and the overall feeling is "), F.col("mood"), F.lit(". "), F.col("detail"), F.lit(". Emphasize "), q(1), F.lit(", "), q(2), F.lit(", and "), q(3), F.lit("."))
+    parts = [F.col("style"), ": ", F.col("subject"), " ", F.col("action"), " ", F.col("scene"), ". ", F.col("detail"), ". Seen in ", F.col("camera"), ", lit by ", F.col("lighting"), "; the mood is ", F.col("mood"), ". Wanted: ", q(1), ", ", q(2), ", ", q(3), "."]
+    sentence = F.concat(*(F.lit(part) if isinstance(part, str) else part for part in parts))
     return out.withColumn("prompt", sentence)
 
 
@@ -57,4 +58,5 @@ def compose_bank(spark, count: int, split: str, seed: int, prefix: str = "bank",
     out = unique.withColumn("index", F.row_number().over(Window.orderBy("id")) - 1)
     if out.count() < count:
         raise ValueError(f"not enough different prompts for {split}")
+    # source and license are fixed values
     return out.withColumns({"prompt_id": row_id(prefix, split, "index"), "split": F.lit(split), "lang": F.lit("en"), "source": F.lit("internal_compositional_taxonomy_v1"), "license": F.lit("internal"), "seed_hint": F.pmod(F.conv(F.substring(hash_order(seed, "id"), 1, 12), 16, 10).cast("long"), F.lit(2**31 - 1))})

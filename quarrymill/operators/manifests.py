@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: The manifest's columns, fixed values.
 FIELDS = ["video", "prompt", "negative_prompt", "prompt_id", "seed", "height", "width", "num_frames", "fps", "cfg_scale", "num_inference_steps", "sigma_shift", "subject_group", "subject_type"]
 
 

@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions.text import col
+from quarrymill.sources.store import materialise
 
 METRICS = ["video_bytes", "fps", "frame_count", "duration_s", "luma_mean", "luma_mean_std_over_time", "frame_luma_std_mean", "sample_diff_mean", "sample_diff_max", "laplacian_var_mean"]
 
 
 @dataclass(frozen=True)
 class QcRules:
+    """Thresholds of the rules. The defaults, and the names of the reasons below, are fixed values."""
+
     width: int = 832
     height: int = 480
     num_frames: int = 81
@@ -121,18 +124,20 @@ def reason_counts(df: DataFrame) -> DataFrame:
 def metric_summary(df: DataFrame, metrics: list[str]) -> DataFrame:
     """metric, min, mean, median (the upper one) and max, each rounded to four places; metrics without values are left out.
 
-    The upper median of n values is the one of rank n div 2 + 1; it is found by ranges of values and counts, so the
-    values of a metric are never brought to one task.
+    The upper median of n values is the one of rank n div 2 + 1. Values are counted, so equal ones are one row; the
+    different values of all metrics are numbered by ranges (`sampling.numbered`), whose bounds follow their distribution,
+    so that no metric's values meet in one task, however close they lie.
     """
     long = df.select(F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics))).alias("m")).select("m.metric", "m.value").where("value IS NOT NULL")
-    base = long.groupBy("metric").agg(F.round(F.min("value"), 4).alias("min"), F.round(F.avg("value"), 4).alias("mean"), F.round(F.max("value"), 4).alias("max"), F.count("*").alias("n"))
-    from pyspark.sql import Window
-
-    counts = long.groupBy("metric", "value").agg(F.count("*").alias("c"))
-    coarse = counts.groupBy("metric", F.floor(F.log2(F.abs("value") + 1) * F.signum("value") * 64).alias("range")).agg(F.sum("c").alias("c"))
-    upto = coarse.withColumn("upto", F.sum("c").over(Window.partitionBy("metric").orderBy("range")))
-    middle = upto.join(base.select("metric", "n"), "metric").where((F.col("upto") - F.col("c") < F.floor(F.col("n") / 2) + 1) & (F.col("upto") >= F.floor(F.col("n") / 2) + 1)).select("metric", "range", (F.floor(F.col("n") / 2) + 1 - F.col("upto") + F.col("c")).alias("nth"))
-    fine = counts.withColumn("range", F.floor(F.log2(F.abs("value") + 1) * F.signum("value") * 64)).join(F.broadcast(middle), ["metric", "range"])
+    counts = materialise(long.groupBy("metric", "value").agg(F.count("*").alias("c")), "metric-counts")
+    base = counts.groupBy("metric").agg(F.round(F.min("value"), 4).alias("min"), F.round(F.sum(F.col("value") * F.col("c")) / F.sum("c"), 4).alias("mean"), F.round(F.max("value"), 4).alias("max"), F.sum("c").alias("n"))
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = materialise(counts.repartitionByRange(ranges, "metric", "value").withColumn("part", F.spark_partition_id()), "metric-ranges")
+    sums = placed.groupBy("metric", "part").agg(F.sum("c").alias("c"))
+    sums = sums.withColumn("upto", F.sum("c").over(Window.partitionBy("metric").orderBy("part")))
+    nth = F.floor(F.col("n") / 2) + 1
+    middle = sums.join(base.select("metric", "n"), "metric").where((F.col("upto") - F.col("c") < nth) & (F.col("upto") >= nth)).select("metric", "part", (nth - F.col("upto") + F.col("c")).alias("nth"))
+    fine = placed.join(F.broadcast(middle), ["metric", "part"])  # a row per metric
     fine = fine.withColumn("upto", F.sum("c").over(Window.partitionBy("metric").orderBy("value")))
     median = fine.where((F.col("upto") - F.col("c") < F.col("nth")) & (F.col("upto") >= F.col("nth"))).select("metric", F.round("value", 4).alias("median"))
     return base.join(median, "metric").select("metric", "min", "mean", "median", "max")

@@ -7,9 +7,10 @@ from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrymill.functions.text import col
 from quarrymill.functions.vocab import NEGATIVE_PROMPT
 from quarrymill.operators.sampling import batch, numbered, stride
 
@@ -103,6 +104,11 @@ def render(planned: DataFrame, renderer: Callable[[list[dict]], list[bytes]] = d
     return dealt.mapInPandas(run, RESULT)
 
 
+def item_runtime(batch_runtime: Column | str, items: Column | str) -> Column:
+    """A batch's time shared among its items; null without items."""
+    return F.when(col(items) > 0, col(batch_runtime) / col(items))
+
+
 def sidecars(planned: DataFrame, results: DataFrame) -> DataFrame:
     """The finished records with their run times, without the contents."""
     finished = results.where("status = 'ok'").select("prompt_id", "batch_size", "batch_runtime_s", "runtime_s")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -59,24 +60,26 @@ def apply_replies(df: DataFrame, reply: str = "reply", model: str = "dry-run-tem
     return df.withColumns({"source": F.lit(source), "pre_llm_prompt": F.col("prompt"), "clean_prompt": F.coalesce("clean_prompt", "prompt"), "llm_extension": extension, "used_fallback_prompt": rejected, "extended_prompt": F.when(~rejected, text), "prompt": text, "tags": merge_tags("tags", f"{reply}.tags")})
 
 
-def call_model(df: DataFrame, client: Callable[[str], str], retries: int = 3, column: str = "reply_text") -> DataFrame:
-    """df with the model's replies to its prompts, batch by batch on the executors; client is a function of the prompt.
+def call_model(df: DataFrame, client: Callable[[str], str], retries: int = 3, column: str = "reply_text", workers: int = 1) -> DataFrame:
+    """df with the model's replies to its prompts, batch by batch on the executors; client is a function of the prompt,
+    called by up to `workers` threads of a task at once. Replies stay with their prompts.
 
-    After `retries` failures with growing pauses the reply is null, which validation turns into a fallback, so that one
-    request never ends the job.
+    After `retries` failures of any kind, with growing pauses, the reply is null, which validation turns into a
+    fallback, so that one request never ends the job.
     """
 
     def ask(prompt: str) -> str | None:
         for attempt in range(retries):
             try:
                 return client(prompt)
-            except (OSError, KeyError, ValueError):
+            except Exception:  # noqa: BLE001  the client is foreign code
                 time.sleep(min(2**attempt, 8) if attempt + 1 < retries else 0)
         return None
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            yield frame.assign(**{column: [ask(p) for p in frame["prompt"]]})
+        with ThreadPoolExecutor(max(1, workers)) as threads:
+            for frame in batches:
+                yield frame.assign(**{column: list(threads.map(ask, frame["prompt"]))})
 
     return df.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + f", {column} string")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions.text import word_count
@@ -37,3 +37,21 @@ def exploded_counts(df: DataFrame, reasons: str = "post_filter_reject_reasons")
     kept = F.when(F.size(reasons) == 0, "kept").otherwise("rejected")
     named = F.concat(F.array(F.lit("input"), kept), F.transform(reasons, lambda r: F.concat(F.lit("reject_"), r)))
     return df.select(F.explode(named).alias("metric")).groupBy("metric").agg(F.count("*").alias("n"))
+
+
+def most_common(df: DataFrame, by: list[str]) -> DataFrame:
+    """Counts (n) with place, from 1: most frequent first within the columns `by`, ties in the order of value."""
+    order = Window.partitionBy(*by).orderBy(F.desc("n"), "value")
+    return df.withColumn("place", F.row_number().over(order).cast("long"))
+
+
+def stats_document(tagged: DataFrame, reasons: DataFrame, text: str = "prompt") -> dict:
+    """The statistics of a bank as one small document: records, word lengths, counts by dimension and by reason, each
+    most frequent first. Only tables of a few rows for each dimension are collected."""
+    lengths = word_lengths(tagged, text).first().asDict()
+    document: dict = {"records": lengths.pop("records"), "word_lengths": lengths, "tags": {}, "reasons": {}}
+    for row in most_common(tag_counts(tagged), ["dimension"]).orderBy("dimension", "place").collect():
+        document["tags"].setdefault(row["dimension"], {})[row["value"]] = row["n"]
+    for row in reasons.orderBy(F.desc("n"), "reason").collect():
+        document["reasons"][row["reason"]] = row["n"]
+    return document

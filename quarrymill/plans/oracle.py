@@ -82,8 +82,8 @@ parts AS (SELECT doc_id, {listed([g['name'] for g in GROUPS])}[g + 1] AS subject
   {', '.join(f'{part(p)} AS {p[:-1]}' for p in PARTS)},
   list_sort(list_transform({listed(TAXONOMY['quality_tags'])}, lambda x: md5('{SEED}:' || CAST(doc_id AS VARCHAR) || ':quality:' || x) || x)) AS ql FROM picked),
 composed AS (SELECT *, subject || ' that ' || "action" || ' ' || scene AS brief,
-  'A ' || style || ' of ' || subject || ' that ' || "action" || ' ' || scene || '. The shot uses ' || camera || ' with ' || lighting || ', and the overall feeling is ' || mood || '. ' || detail
-  || '. Emphasize ' || substr(ql[1], 33) || ', ' || substr(ql[2], 33) || ', and ' || substr(ql[3], 33) || '.' AS prompt FROM parts),
+  style || ': ' || subject || ' ' || "action" || ' ' || scene || '. ' || detail || '. Seen in ' || camera || ', lit by ' || lighting || '; the mood is ' || mood
+  || '. Wanted: ' || substr(ql[1], 33) || ', ' || substr(ql[2], 33) || ', ' || substr(ql[3], 33) || '.' AS prompt FROM parts),
 planted AS (SELECT *, prompt || {chosen('doc_id', 'plant', PLANTS)} AS planted FROM composed)"""
 
 MOTION_TYPE = "CASE WHEN dyn THEN 'environment_dynamics' WHEN fine THEN 'fine_interaction' WHEN cam THEN 'camera_motion' WHEN mot THEN 'subject_translation' ELSE 'static_low_motion' END"
@@ -140,7 +140,7 @@ def judged(lineage: bool) -> str:
 EMBED = "list_transform(embedding, lambda x: round(128.0::DOUBLE + 100.0::DOUBLE * x::DOUBLE, 6))"
 FRAMES = f"""WITH v AS (SELECT vec_id, label, {EMBED} AS m, CASE WHEN vec_id % 11 = 0 THEN 0.0::DOUBLE ELSE 16.0::DOUBLE + (vec_id % 5) * 0.02::DOUBLE END AS fps, 64 + vec_id % 3 AS frame_count,
   CASE WHEN vec_id % 13 = 0 THEN 9 ELSE 8 END AS width, vec_id % 200 AS video_bytes FROM embeddings),
-s AS (SELECT *, list_transform(m[1:16], lambda x: abs(x - 128.0::DOUBLE)) AS sd, list_transform(m[1:16], lambda x: x / 2) AS lap, list_transform(range(2, len(m) + 1), lambda i: abs(m[i] - m[i - 1])) AS df FROM v),
+s AS (SELECT *, list_transform(m, lambda x: abs(x - 128.0::DOUBLE)) AS sd, list_transform(m, lambda x: x / 2) AS lap, list_transform(range(2, len(m) + 1), lambda i: abs(m[i] - m[i - 1])) AS df FROM v),
 metrics AS (SELECT vec_id, label, fps, frame_count, width, video_bytes, CASE WHEN fps > 0 THEN round(frame_count / fps, 4) END AS duration_s, round(list_avg(m), 4) AS luma_mean, round(list_stddev_pop(m), 4) AS luma_mean_std_over_time,
   round(list_avg(sd), 4) AS frame_luma_std_mean, round(list_avg(lap), 4) AS laplacian_var_mean, round(list_avg(df), 4) AS sample_diff_mean, round(list_max(df), 4) AS sample_diff_max, len(m) AS decoded FROM s)"""
 

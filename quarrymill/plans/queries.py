@@ -11,7 +11,6 @@ from quarrymill.functions import tags, text
 from quarrymill.operators import compose, filters, leases, manifests, qc, render, rewrite, sampling, summaries
 from quarrymill.plans import pipeline
 from quarrymill.sources.io import parquet_table as table
-from quarrymill.streaming import leases as stream
 
 SEED = 20260503
 MAX_WORDS = 1000  # documents are longer than prompts
@@ -313,8 +312,7 @@ def frame_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings as luma series: 128 + 100 times the component is a frame's mean."""
     luma = F.transform("embedding", lambda x: F.round(F.lit(128.0) + F.lit(100.0) * x.cast("double"), 6))
     v = table(spark, sf_dir, "embeddings").select("vec_id", "label", luma.alias("luma_means"))
-    low = F.slice("luma_means", 1, 16)
-    v = v.withColumns({"luma_stds": F.transform(low, lambda x: F.abs(x - 128.0)), "lap_vars": F.transform(low, lambda x: x / 2), "diffs": qc.consecutive_diffs("luma_means"), "fps": F.when(F.col("vec_id") % 11 == 0, 0.0).otherwise(F.lit(16.0) + (F.col("vec_id") % 5) * 0.02), "frame_count": F.lit(64).cast("long") + F.col("vec_id") % 3, "width": F.when(F.col("vec_id") % 13 == 0, 9).otherwise(8), "height": F.lit(8), "video_bytes": F.col("vec_id") % 200})
+    v = v.withColumns({"luma_stds": F.transform("luma_means", lambda x: F.abs(x - 128.0)), "lap_vars": F.transform("luma_means", lambda x: x / 2), "diffs": qc.consecutive_diffs("luma_means"), "fps": F.when(F.col("vec_id") % 11 == 0, 0.0).otherwise(F.lit(16.0) + (F.col("vec_id") % 5) * 0.02), "frame_count": F.lit(64).cast("long") + F.col("vec_id") % 3, "width": F.when(F.col("vec_id") % 13 == 0, 9).otherwise(8), "height": F.lit(8), "video_bytes": F.col("vec_id") % 200})
     return qc.with_metrics(v)
 
 
@@ -416,23 +414,6 @@ def iso_times(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", text.iso_time(F.col("ts").cast("timestamp")).alias("time"))
 
 
-@query
-def stream_lease_sessions(spark, sf_dir):
-    """Closed sessions of the event log as a stream; the tail stays in state until the watermark passes it."""
-    source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*")
-    return stream.run_once(stream.stream_sessions(source), f"sessions_{abs(hash(sf_dir))}").select("user_id", F.unix_micros("start").alias("start_us"), "heartbeats")
-
-
-@query
-def stream_lease_state(spark, sf_dir):
-    """The lease machine over the event log: items are users, event types play the actions."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    source = spark.readStream.schema(spark.read.parquet(f"{sf_dir}/events.parquet").schema).parquet(f"{sf_dir}/events.parquet*")
-    action = F.element_at(F.array(*map(F.lit, ["claim", "heartbeat", "release", "commit"])), (F.pmod(F.xxhash64("event_type", "event_id"), F.lit(4)) + 1).cast("int"))
-    events = source.select("event_id", "ts", F.col("user_id").cast("string").alias("prompt_id"), F.concat(F.lit("w"), F.col("event_id") % 2).alias("worker_id"), F.concat(F.lit("t"), F.col("event_id") % 2).alias("token"), action.alias("action"))
-    return stream.run_once(stream.stream_leases(events), f"leases_{abs(hash(sf_dir))}")
-
-
 @query
 def prompt_pipeline(spark, sf_dir):
     """The whole prompt pipeline over composed prompts: the final records."""

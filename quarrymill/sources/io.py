@@ -20,15 +20,11 @@ def parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A table of few files, whose row groups would keep fewer than half of the cores busy, is dealt to all of them.
+    """A table of fewer files than cores is dealt to all cores; larger ones stay as they are read.
 
-    Larger tables stay as they are read. What the files hold is only looked at, by counts, if there are few of them.
-    """
+    Only file names are looked at. A small table pays one cheap exchange, a large one none."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if len(df._jdf.inputFiles()) >= cores:
-        return df
-    filled = df.select(F.spark_partition_id().alias("part")).distinct().count()
-    return df if 2 * filled > cores else df.repartition(cores)
+    return df if len(df._jdf.inputFiles()) >= cores else df.repartition(cores)
 
 
 def raw_prompts(spark: SparkSession, path: str) -> DataFrame:
@@ -49,11 +45,22 @@ def jsonl(spark: SparkSession, path: str, schema: T.StructType | str, limit: int
         raise
 
 
-def sidecars(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A folder of JSON documents with file_name, and sidecar_error where a document does not parse."""
+def sidecars(spark: SparkSession, path: str, schema: T.StructType, ordered: bool = False) -> DataFrame:
+    """A folder of JSON documents with file_name, and sidecar_error where a document does not parse. `ordered` sorts by
+    file name, for callers that need the listing's order."""
     full = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     read = spark.read.schema(full).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
-    return read.select(*(f.name for f in schema), F.col("_metadata.file_name").alias("file_name"), F.col("_corrupt_record").isNotNull().alias("sidecar_error"))
+    return read.select(*(f.name for f in schema), F.col("_metadata.file_name").alias("file_name"), F.col("_corrupt_record").isNotNull().alias("sidecar_error")).transform(lambda df: df.orderBy("file_name") if ordered else df)
+
+
+LEASE = T.StructType([T.StructField(c, t) for t, names in ((T.StringType(), ("prompt_id", "token", "worker_id", "hostname", "state")), (T.DoubleType(), ("updated_at", "expires_at")), (T.IntegerType(), ("pid", "lease_seconds"))) for c in names])
+
+
+def lease_files(spark: SparkSession, path: str) -> DataFrame:
+    """The leases of a folder of lock files, with file_name; a file that does not parse is a lease of nulls, never an
+    error, so that only its age can free it (`is_stale`)."""
+    read = sidecars(spark, path, LEASE)
+    return read.select("file_name", *(F.when(~F.col("sidecar_error"), F.col(f.name)).alias(f.name) for f in LEASE))
 
 
 def existing_ids(spark: SparkSession, path: str, key: str = "prompt_id") -> DataFrame:
@@ -92,7 +99,8 @@ def taxonomy(spark: SparkSession, path: str) -> dict:
 
 
 def frames(spark: SparkSession, path: str, decode, pattern: str = "*.mp4") -> DataFrame:
-    """Metrics of media files by an injected decoder: bytes -> dict of the fields below, or None where it can't open."""
+    """Metrics of media files by an injected decoder: bytes -> dict of the fields below, or None where it can't open.
+    A decoder that raises counts as one that can't open the file, so no file ends the job."""
     import pandas as pd
 
     schema = "path string, video_bytes long, open_failed boolean, width int, height int, fps double, frame_count long, luma_means array<double>, luma_stds array<double>, lap_vars array<double>, diffs array<double>"
@@ -102,7 +110,10 @@ def frames(spark: SparkSession, path: str, decode, pattern: str = "*.mp4") -> Da
         for batch in batches:
             rows = []
             for path, length, content in zip(batch["path"], batch["length"], batch["content"], strict=True):
-                found = decode(bytes(content))
+                try:
+                    found = decode(bytes(content))
+                except Exception:  # noqa: BLE001  the decoder is foreign code
+                    found = None
                 rows.append([path, length, found is None, *((found or {}).get(n) for n in names)])
             yield pd.DataFrame(rows, columns=["path", "video_bytes", "open_failed", *names])
 
@@ -134,6 +145,13 @@ def write_by_status(results: DataFrame, manifest: DataFrame, path: str, mode: st
     results.select(F.col("prompt_id").alias("value"), "status").write.mode(mode).partitionBy("status").text(f"{path}/ids")
 
 
+def write_metadata(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A metadata CSV by its own columns; without rows it has the header `video,prompt` alone."""
+    if not df.take(1):
+        df = df.sparkSession.createDataFrame([], "video string, prompt string").coalesce(1)
+    write_csv(df, path, df.columns, mode)
+
+
 def write_document(spark: SparkSession, value: dict, path: str, mode: str = "overwrite") -> None:
     """One small JSON document."""
     spark.createDataFrame([(json.dumps(value, ensure_ascii=False, sort_keys=True),)], "value string").coalesce(1).write.mode(mode).text(path)

@@ -1,15 +1,16 @@
 """Sampling, manifests, leases, sources, sinks, streams: properties and small cases."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from quarrymill.functions import tags
-from quarrymill.operators import compose, leases, manifests, render, sampling, summaries
+from quarrymill.functions import tags, text
+from quarrymill.operators import compose, leases, manifests, qc, render, rewrite, sampling, summaries
 from quarrymill.plans import pipeline
-from quarrymill.sources import io
+from quarrymill.sources import io, store
 from quarrymill.streaming import leases as stream
 
 
@@ -169,9 +170,16 @@ def test_csv_sinks_and_last_row(spark, tmp_path):
 def test_decoder_seam(spark, tmp_path):
     (tmp_path / "a.mp4").write_bytes(b"ok")
     (tmp_path / "b.mp4").write_bytes(b"no!")
-    decode = lambda content: {"width": 8, "height": 8, "fps": 16.0, "frame_count": 2, "luma_means": [1.0], "luma_stds": [1.0], "lap_vars": [1.0], "diffs": []} if content == b"ok" else None
+    (tmp_path / "c.mp4").write_bytes(b"raises")
+    good = lambda content: {"width": 8, "height": 8, "fps": 16.0, "frame_count": 2, "luma_means": [1.0], "luma_stds": [1.0], "lap_vars": [1.0], "diffs": []} if content == b"ok" else None
+
+    def decode(content):
+        if content == b"raises":
+            raise RuntimeError("foreign code")
+        return good(content)
+
     got = {r.path[-5:]: (r.open_failed, r.video_bytes, r.width) for r in io.frames(spark, str(tmp_path), decode).collect()}
-    assert got == {"a.mp4": (False, 2, 8), "b.mp4": (True, 3, None)}
+    assert got == {"a.mp4": (False, 2, 8), "b.mp4": (True, 3, None), "c.mp4": (True, 6, None)}
 
 
 def events(spark, path, rows):
@@ -181,13 +189,14 @@ def events(spark, path, rows):
 def test_lease_machine(spark, tmp_path):
     from datetime import datetime, timedelta
 
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     t = lambda s: datetime(2026, 1, 1) + timedelta(seconds=s)
     script = [("claim", "w1", "t1", 0, "claimed"), ("claim", "w2", "t2", 10, "held"), ("heartbeat", "w1", "t1", 60, "refreshed"), ("heartbeat", "w2", "t2", 61, "lost_lock"), ("claim", "w2", "t2", 300, "claimed"), ("commit", "w1", "t1", 301, "lost_lock"), ("commit", "w2", "t2", 302, "ok"), ("commit", "w2", "t2", 303, "completed_elsewhere"), ("claim", "w3", "t3", 304, "completed_elsewhere")]
     events(spark, tmp_path / "in", [(i, t(s), "item", w, k, a) for i, (a, w, k, s, _) in enumerate(script)])
     source = spark.readStream.schema("event_id long, ts timestamp, prompt_id string, worker_id string, token string, action string").parquet(str(tmp_path / "in"))
-    got = stream.run_once(stream.stream_leases(source, lease=120), "machine", str(tmp_path / "cp"))
-    assert [r.outcome for r in got.orderBy("updated_at").collect()] == [x[4] for x in script]
+    got = stream.run_once(stream.stream_leases(source, lease=120))
+    outcomes = [x[4] for x in script]
+    outcomes.insert(4, "stale")  # w1 fell silent: its lease runs out at 180, before the claim of w2
+    assert [r.outcome for r in got.orderBy("updated_at").collect()] == outcomes
 
 
 def test_stream_sessions_equal_batch_once_closed(spark, tmp_path):
@@ -200,7 +209,7 @@ def test_stream_sessions_equal_batch_once_closed(spark, tmp_path):
     batch = {(r.user_id, r.heartbeats) for r in leases.lease_sessions(df).collect()}
     assert batch == {(7, 2), (7, 1), (8, 1)}  # a gap of exactly the lease starts a new session
     source = spark.readStream.schema(df.schema).parquet(str(tmp_path / "e"))
-    assert {(r.user_id, r.heartbeats) for r in stream.run_once(stream.stream_sessions(source), "sess").collect()} == {(7, 2), (7, 1)}
+    assert {(r.user_id, r.heartbeats) for r in stream.run_once(stream.stream_sessions(source)).collect()} == {(7, 2), (7, 1)}
     stream.sink_once(source, str(tmp_path / "out"), str(tmp_path / "cp2"))
     stream.sink_once(source, str(tmp_path / "out"), str(tmp_path / "cp2"))
     assert spark.read.parquet(str(tmp_path / "out")).count() == 4
@@ -217,3 +226,44 @@ def test_pipeline_accounts_for_every_record(spark):
         pipeline.run(made.select("id", "planted"), "planted", "id", F.lit(0.0), pipeline.PipelineOptions(train=5000))
     asked = pipeline.extend(out["clean"].withColumn("raw_prompt", F.col("planted")), options, lambda prompt: "not json").first()
     assert asked.used_fallback_prompt
+
+
+def test_model_calls_run_side_by_side_and_never_end_the_job(spark):
+    prompts = spark.createDataFrame([(i, f"p{i}") for i in range(40)], "id long, prompt string").coalesce(1)
+
+    def client(prompt):
+        if prompt == "p7":
+            raise RuntimeError("foreign code")
+        if prompt == "p8":
+            raise TypeError("foreign code")
+        return prompt.upper()
+
+    got = {r.id: r.reply_text for r in rewrite.call_model(prompts, client, retries=1, workers=8).collect()}
+    assert got == {i: None if i in (7, 8) else f"P{i}" for i in range(40)}
+
+
+def test_metric_summary_of_values_close_together(spark):
+    """All values within a thousandth: ranges follow them."""
+    values = [1 + i * 1e-7 for i in range(4001)]
+    df = spark.createDataFrame([(v, None) for v in values], "a double, b double").repartition(5)
+    got = qc.metric_summary(df, ["a", "b"]).collect()
+    assert [tuple(r) for r in got] == [("a", 1.0, 1.0002, 1.0002, 1.0004)]
+
+
+def test_intermediate_tables_are_removed(spark):
+    start = store.mark()
+    kept, gone = store.materialise(spark.range(3), "t"), store.materialise(spark.range(4), "t")
+    path = gone.inputFiles()[0]
+    assert kept.count() == 3 and os.path.exists(path.removeprefix("file://"))
+    store.drop(gone)
+    assert not os.path.exists(path.removeprefix("file://")) and kept.count() == 3
+    store.drop_since(start)
+    assert store.mark() == start
+
+
+def test_stats_and_config(spark):
+    assert text.first_value({"a": "", "b": 0, "c": "x"}, "a", "b", "c") == "x"
+    rows = spark.createDataFrame([('{"a": "", "b": 0, "c": "x"}',), ("{}",), (None,), ('{"a": false, "c": 5}',)], "j string")
+    assert [r[0] for r in rows.select(text.config_value("j", "a", "b", "c")).collect()] == ["x", "", "", "5"]
+    frame = spark.createDataFrame([([-2.0, -1.0, 0.0, 1.0, 9.0, None],), (None,)], "t array<double>")
+    assert [r[0] for r in frame.select(text.to_frame("t")).collect()] == [[0, 0, 128, 255, 255, None], None]

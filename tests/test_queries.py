@@ -3,23 +3,25 @@
 import oracle as compare
 import pytest
 
-from quarrymill.plans import oracle, queries
+from quarrymill.plans import oracle, queries, stored, streams
 
-ROWS_ONLY = {"html_unescape_pages", "stream_lease_sessions", "stream_lease_state"}
+QUERIES = queries.QUERIES | stored.QUERIES | streams.QUERIES
+SQL = oracle.SQL | stored.SQL | streams.SQL
+ROWS_ONLY = {"html_unescape_pages"}
 
 
 def test_every_query_has_sql():
-    assert set(queries.QUERIES) - set(oracle.SQL) == ROWS_ONLY
+    assert set(QUERIES) - set(SQL) == ROWS_ONLY and len(QUERIES) == sum(len(m.QUERIES) for m in (queries, stored, streams))
 
 
-@pytest.mark.parametrize("name", sorted(oracle.SQL))
+@pytest.mark.parametrize("name", sorted(SQL))
 def test_matches_sql(spark, sf_dir, name):
-    assert compare.difference(spark, sf_dir, queries.QUERIES[name], oracle.SQL[name]) == ""
+    assert compare.difference(spark, sf_dir, QUERIES[name], SQL[name]) == ""
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_has_rows(spark, sf_dir, name):
-    assert queries.QUERIES[name](spark, sf_dir).count() > 0
+    assert QUERIES[name](spark, sf_dir).count() > 0
 
 
 def test_entry(spark):
