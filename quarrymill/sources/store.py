@@ -42,10 +42,9 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 def drop(*tables: DataFrame) -> None:
     """Remove tables that `materialise` gave, once nothing will read them again."""
-    for table in tables:
-        own = {f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for f in table.inputFiles()}
-        for spark, path in [x for x in _written if x[1].rsplit("/", 1)[-1] in own]:
-            _remove(spark, path)
+    for path in _paths(tables):
+        for spark, own in [x for x in _written if x[1].endswith(path)]:
+            _remove(spark, own)
 
 
 def mark() -> int:
@@ -53,10 +52,18 @@ def mark() -> int:
     return len(_written)
 
 
-def drop_since(start: int) -> None:
-    """Remove all tables written since `mark` gave start, once nothing will read them again."""
+def drop_since(start: int, *keep: DataFrame) -> None:
+    """Remove all tables written since `mark` gave start, but for those that `keep` reads, once nothing else will be read
+    again."""
+    kept = _paths(keep)
     for spark, path in _written[start:]:
-        _remove(spark, path)
+        if not any(path.endswith(x) for x in kept):
+            _remove(spark, path)
+
+
+def _paths(tables: tuple[DataFrame, ...]) -> set[str]:
+    """The last parts of the folders that tables read."""
+    return {"/" + f.rsplit("/", 1)[0].rsplit("/", 1)[-1] for table in tables for f in table.inputFiles()}
 
 
 def drop_all() -> None:
