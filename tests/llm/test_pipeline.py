@@ -31,6 +31,7 @@ def test_columns(stages):
 
 
 def test_language_keeps_what_has_letters(stages):
+    """All documents of the table are in languages that it labels; the distance is looked at in test_operators."""
     want = {r.doc_id for r in stages["documents"].collect() if any(ch.isalpha() for ch in r.text or "")}
     assert {r.doc_id for r in stages["language"].collect()} == want
 
