@@ -6,35 +6,39 @@ redacts personal data, mixing draws the sources to their target weights, packing
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quarrymill.llm import langid, mixing, packing, pii, simhash
-from quarrymill.llm.common import shared_dir, table
+from quarrymill.llm.common import drop, drop_since, mark, new_path, table
 
 #: Packing needs a tokenizer, which SQL lacks: tests compare the pipeline with a brute-force version.
 ORACLE_SQL = None
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """docs without texts that are null, have no letter, or are in none of the languages that docs' labels teach."""
     return langid.keep_known(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one of the smallest doc_id; null texts count as empty."""
     return simhash.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All docs, personal data in their texts replaced by its kind; null texts stay null."""
     return pii.redact(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix draws them, shard by shard in shuffled order; null sources are a source."""
     return mixing.mixed(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents' token ids in sequences; null texts have the end id alone."""
     return packing.pack(docs)
 
 
@@ -48,10 +52,16 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the documents of sf_dir."""
-    docs, place = table(spark, sf_dir, "documents"), f"{shared_dir(spark).rstrip('/')}/corpus-pipeline-{uuid.uuid4().hex}"
+    """The last stage's rows for the documents of sf_dir. A stage's table, and what its operator wrote on the way, go once
+    the next stage is written; the last one goes at the end of the process."""
+    docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
-        path = f"{place}/{number}-{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        start = mark()
+        out = stage(spark, docs, sf_dir)
+        path = new_path(spark, f"corpus-{number}-{name}")
+        out.write.parquet(path)
+        before, docs = docs, spark.read.parquet(path)
+        drop_since(start, docs)
+        if number:
+            drop(before)
     return docs

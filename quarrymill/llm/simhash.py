@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import arrow_blobs, carried, materialise, restored, row_key
+from quarrymill.llm.common import arrow_blobs, carried, drop, drop_since, mark, materialise, restored, row_key
 from quarrymill.llm.components import components
 
 BLOCK = 2048  # fingerprints of one cell that meet in one task
@@ -382,12 +382,14 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 2, groups: int =
     row; a null doc_id counts as absent when the smallest is sought, and a component of such rows only has a null id.
     Columns of docs other than doc_id and text are left aside. An empty table gives an empty result.
     """
+    start = mark()
     marked = materialise(fingerprints(docs, width), "simhash")
     edges = materialise(links(marked.select("fp").distinct(), radius, groups, groups - radius, 2, block), "simhash-links")
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     merged = with_component(marked, edges).join(least, "fp")
     smallest = merged.groupBy("component").agg(F.min("least").alias("component_id"))
-    ids = merged.select("fp", "component").join(smallest, "component").select("fp", "component_id")
+    ids = materialise(merged.select("fp", "component").join(smallest, "component").select("fp", "component_id"), "simhash-ids")
+    drop_since(start, marked, ids)
     return marked.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -404,27 +406,40 @@ def similar(docs: DataFrame, marked: DataFrame, close: DataFrame, shingle: int,
     fits = can_reach(F.col("n"), F.col("pos"), F.col("c.n"), F.col("c.pos"), least)
     stars = lists.join(center, "h").where(F.col("t") != F.col("c.t")).where(fits)
     tried = materialise(stars.select(F.least("t", "c.t").alias("a"), F.greatest("t", "c.t").alias("b")).distinct(), "dedup-tried")
-    passed = materialise(alike(materialise(possible(tried, sketched, least), "dedup-possible"), texts, shingle, least), "dedup-passed")
+    maybe = materialise(possible(tried, sketched, least), "dedup-possible")
+    passed = materialise(alike(maybe, texts, shingle, least), "dedup-passed")
+    drop(maybe)
     labels = with_component(marked, close.unionByName(passed))
     labelled = lists.join(nodes.join(labels, "fp").select("t", "component"), "t")
     mixed = labelled.groupBy("h").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("h")
-    rest = crossing(materialise(labelled.join(mixed, "h"), "dedup-open"), least).join(tried, ["a", "b"], "left_anti")
-    return passed.unionByName(materialise(alike(materialise(possible(rest, sketched, least), "dedup-rest"), texts, shingle, least), "dedup-more"))
+    left = materialise(labelled.join(mixed, "h"), "dedup-open")
+    drop(lists)
+    rest = materialise(possible(crossing(left, least).join(tried, ["a", "b"], "left_anti"), sketched, least), "dedup-rest")
+    drop(left, tried, sketched)
+    more = materialise(alike(rest, texts, shingle, least), "dedup-more")
+    drop(rest, texts)
+    return passed.unionByName(more)
 
 
 def keep_one(docs: DataFrame, width: int = 3, radius: int = 2, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs with one document of each group of near-duplicates: that of the smallest doc_id; all columns are kept.
 
     Texts link if their fingerprints (of `width` words) differ in at most `radius` bits, or if they share at least
-    `similarity` of their shingles of `shingle` words; no such pair is left out. Rows without a doc_id come last when the
-    one to stay is chosen; of rows equal in doc_id and text one stays. An empty table stays empty.
+    `similarity` of their shingles of `shingle` words; no such pair is left out, however crowded a list of candidates is.
+    A null text counts as an empty one, and blank texts are all alike: one of them stays. Rows without a doc_id come last
+    when the one to stay is chosen; of rows equal in doc_id and text one stays (the least by a hash of all its columns).
+    Other columns never matter and are carried apart, so no name can clash. An empty table stays empty. Texts of any
+    length are compared whole; a task holds a pair of them.
     """
+    start = mark()
     marked = materialise(fingerprints(docs, width), "dedup")
     close = materialise(links(marked.select("fp").distinct(), radius), "dedup-links")
     kept = close.unionByName(similar(docs, marked, close, shingle, similarity))
     rank = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "k1", "k2")
     best = marked.groupBy("fp").agg(F.min(rank).alias("f"))  # copies meet here, in part before the shuffle
     first = best.join(with_component(marked, kept), "fp").groupBy("component").agg(F.min("f").alias("f"))
-    rows = carried(docs, *row_key()).join(first.select("f.k1", "f.k2"), ["k1", "k2"], "left_semi")
+    first = materialise(first.select("f.k1", "f.k2"), "dedup-first")
+    drop_since(start, first)
+    rows = carried(docs, *row_key()).join(first, ["k1", "k2"], "left_semi")
     equal = Window.partitionBy("k1", "k2").orderBy(F.xxhash64("carried"))
     return restored(rows.withColumn("nth", F.row_number().over(equal)).where("nth = 1"), docs)
