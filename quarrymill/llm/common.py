@@ -35,15 +35,15 @@ def carried(docs: DataFrame, *names: str) -> DataFrame:
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("carried"), *names)
 
 
-def restored(df: DataFrame, docs: DataFrame, text: Column | None = None, changed: Column | None = None) -> DataFrame:
-    """The columns of docs from `carried`, in docs' order and types; where `changed` holds, text is replaced, and
-    n_chars, if docs has it, follows."""
+def restored(df: DataFrame, docs: DataFrame, text: Column | None = None, changed: Column | None = None, more: dict[str, Column] | None = None) -> DataFrame:
+    """The columns of docs from `carried`, in docs' order and types, then those of `more`; where `changed` holds, text is
+    replaced, and n_chars, if docs has it, follows."""
     columns = {c: F.col("carried").getField(c) for c in docs.columns}
     if text is not None:
         columns["text"] = F.when(changed, text).otherwise(columns["text"])
         if "n_chars" in columns:
             columns["n_chars"] = F.when(changed, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
-    return df.select(*(column.alias(c) for c, column in columns.items()))
+    return df.select(*(column.alias(c) for c, column in [*columns.items(), *(more or {}).items()]))
 
 
 def to_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

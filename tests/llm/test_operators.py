@@ -712,7 +712,7 @@ def test_mixing(docs, rows, empty):
     for s in sizes:
         same = [t for t in sizes if (sizes[t], round(targets[t], 6)) == (sizes[s], round(targets[s], 6))]
         assert abs(taken[(sizes[s], round(targets[s], 6))] - sum(targets[t] for t in same)) <= len(same)
-    assert mixing.mix_report(empty).count() == 0 and all(len(r.shards.split(",")) == -(-r.taken // r["size"]) for r in got if r.taken)
+    assert mixing.mix_report(empty).count() == 0 and all(len(r.shards.split(",")) == -(-r.taken // r["size"]) and sum(map(int, r.words.split(","))) == r.taken for r in got if r.taken)
 
 
 def test_mixed_rows_hold_the_words_taken(docs):
@@ -722,6 +722,44 @@ def test_mixed_rows_hold_the_words_taken(docs):
     assert out.columns == docs.columns and sum(len(WORD.findall(r.text)) for r in got) == want and all(r.n_chars == len(r.text) and r._size == 9 for r in got)
 
 
+def test_mixed_rows_come_shard_by_shard_and_shuffled(spark, tmp_path):
+    rng = random.Random(14)
+    rows = [(i, words(rng, rng.randint(1, 30)), "en", "hot" if i % 3 else f"s{i % 7}") for i in range(3000)]
+    docs = documents(spark, rows)
+    report = {r.doc_id: r for r in mixing.mix_report(docs).collect()}
+    mixing.mixed(docs, places=True).write.parquet(str(tmp_path / "mix"))
+    read = spark.read.parquet(str(tmp_path / "mix"))
+    files = collections.defaultdict(list)
+    for r in read.selectExpr("*", "input_file_name() AS file").collect():
+        files[r.file].append((r.mix_shard, r.mix_order, r.doc_id, len(WORD.findall(r.text))))
+    draws = collections.Counter()
+    for own in files.values():
+        assert own == sorted(own)  # each shard's part is in the order of its hashes
+        draws.update((i, str(shard), str(n), str(order)) for shard, order, i, n in own)
+    want = collections.Counter((i, *d) for i, r in report.items() if r.taken for d in zip(r.shards.split(","), r.words.split(","), r.places.split(","), strict=True))
+    assert draws == want and {d[1] for d in draws} == {str(n) for n in range(16)}
+    # neighbours in a shard are neither of one block nor in the order of ids
+    longest = max(files.values(), key=len)
+    assert sum(a[2] < b[2] for a, b in zip(longest, longest[1:])) < 0.6 * len(longest)
+
+
+def test_mixing_blocks_grow_with_the_table(spark, monkeypatch):
+    """Small blocks and shards, so that there are more of both; targets are met to the word all the same."""
+    rng = random.Random(15)
+    rows = [(i, words(rng, rng.randint(0, 12)), "en", rng.choice(["a", "a", "a", "b", None])) for i in range(4000)]
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 10)
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 500)
+    got = mixing.mix_report(documents(spark, rows)).collect()
+    assert len(got) == len(rows) and len({s for r in got for s in r.shards.split(",")} - {""}) > 32
+    sizes, taken = collections.Counter(), collections.Counter()
+    for r in got:
+        source = rows[r.doc_id][3]
+        sizes[source] += r["size"]
+        taken[source] += r.taken
+        assert r.taken <= 2 * r["size"]
+    assert all(abs(taken[k] - t) <= 1 for k, t in water_fill(sizes).items())
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_targets(spark, seed):
     rng = random.Random(seed)
@@ -733,7 +771,7 @@ def test_targets(spark, seed):
 
 
 def test_splitting_tree_keeps_quotas(docs):
-    plan = mixing.block_plan(mixing.dealt(docs.select("doc_id", "text", "source")).select("_known", "_name", "_block", "_size")).cache()
+    plan = mixing.block_plan(mixing.dealt(docs.select("doc_id", "text", "source"), 128).select("_known", "_name", "_block", "_size")).cache()
     draws = mixing.shard_draws(plan).collect()
     laps = collections.Counter()
     for r in plan.collect():
