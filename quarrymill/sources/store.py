@@ -33,10 +33,25 @@ def new_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+#: Spark removes an execution's shuffle files at its end if this is set; what was written needs them no more.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def save(df: DataFrame, path: str) -> None:
+    """df as a Parquet table; the shuffle files of its plan go at once, not when the driver's garbage is collected."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEAN, "false")
+    conf.set(CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEAN, before)
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """df written to the shared folder and read back: cuts lineage, survives lost executors."""
     path = new_path(df.sparkSession, label)
-    df.write.parquet(path)
+    save(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
