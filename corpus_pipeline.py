@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quarrymill.llm import langid, mixing, packing, pii, simhash
-from quarrymill.llm.common import drop, drop_since, mark, new_path, table
+from quarrymill.llm.common import drop, drop_since, mark, new_path, save, table
 
 #: Packing needs a tokenizer, which SQL lacks: tests compare the pipeline with a brute-force version.
 ORACLE_SQL = None
@@ -59,7 +59,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         start = mark()
         out = stage(spark, docs, sf_dir)
         path = new_path(spark, f"corpus-{number}-{name}")
-        out.write.parquet(path)
+        save(out, path)
         before, docs = docs, spark.read.parquet(path)
         drop_since(start, docs)
         if number:

@@ -12,12 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.sources.io import parquet_table as table
-from quarrymill.sources.store import drop, drop_since, mark, materialise, new_path
+from quarrymill.sources.store import drop, drop_since, mark, materialise, new_path, save
 
 # Functions sent to executors carry their code along, so workers need no copy of this package on their path.
 cloudpickle.register_pickle_by_value(sys.modules[__name__.split(".")[0]])
 
-__all__ = ["arrow_blobs", "carried", "drop", "drop_since", "mark", "materialise", "new_path", "restored", "row_key", "table", "to_batch", "worker_cache"]
+__all__ = ["arrow_blobs", "carried", "drop", "drop_since", "mark", "materialise", "new_path", "restored", "row_key", "save", "table", "to_batch", "worker_cache"]
 
 
 def worker_cache() -> dict:

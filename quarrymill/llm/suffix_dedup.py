@@ -1,17 +1,21 @@
 """Substring dedup by suffix order: each byte of a 200-byte string that also starts elsewhere is removed.
 
-1. Winnowing deals the work: of the 32-byte grams in a 200-byte window, the one with the smallest hash (the first of
+1. Winnowing deals the work, once: of the 32-byte grams in a 200-byte window, the one with the smallest hash (the first of
    equal ones) is the window's anchor. Equal windows have equal anchors at equal places, so windows only need to meet
-   others of their anchor. Consecutive windows with one anchor form a run.
-2. Runs with equal anchor and equal bytes as a whole repeat in full; that settles most by a count. An anchor that occurs
-   once has no partner at all. What is left are runs that share an anchor but differ somewhere, such as the borders of
-   repeated passages, one representative per different run.
+   others of their anchor. Consecutive windows with one anchor form a run; runs of an anchor that occurs once have no
+   partner and go.
+2. Runs with equal anchor and equal bytes as a whole repeat in full, which a count tells. What is left are runs that
+   share an anchor but differ somewhere, such as the borders of repeated passages, one representative per different run.
 3. Around the anchor, each of these is trimmed to what it can share with any other: the longest common extensions to
-   either side, found by sorting. Equal remainders repeat in full. The other remainders meet in a collection Burrows-Wheeler transform built column by column: every round inserts one symbol of each
-   string, from the last to the first, and updates the transform and the table of common prefixes. Suffixes of 200
-   bytes or more whose common prefix with a neighbour has 200 bytes or more start repeated windows.
-4. An anchor with a huge number of different runs is not brought to one task; its windows are counted by digest instead,
-   which partial aggregation spreads (`HOT`).
+   either side, found by sorting. Equal remainders repeat in full. The other remainders meet in a collection
+   Burrows-Wheeler transform built column by column: every round inserts one symbol of each string, from the last to the
+   first, and updates the transform and the table of common prefixes. Suffixes of 200 bytes or more whose common prefix
+   with a neighbour has 200 bytes or more start repeated windows.
+4. An anchor with more than `HOT` different runs is not brought to one task; its windows are counted by digest instead,
+   which partial aggregation spreads. Results are the same either way; a test forces both.
+
+The transform's columns are arrays that each round reads and writes front to back, held in memory for one batch of
+strings: a task may not keep files of its own on an executor, and over the shared folder each round would be a job.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import arrow_blobs, materialise, row_key, to_batch
+from quarrymill.llm.common import arrow_blobs, drop, materialise, row_key, to_batch
 
 LENGTH = 200
 GRAM = 32
@@ -213,13 +217,17 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
             if parts:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], schema=schema)
 
-    dealt = keyed.select("k1", "k2", "text").mapInArrow(deal, "k1 long, k2 long, h long, g long, lo int, hi int, at int")
+    dealt = materialise(keyed.select("k1", "k2", "text").mapInArrow(deal, "k1 long, k2 long, h long, g long, lo int, hi int, at int"), "suffix-dealt")
+    repeated = dealt.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
+    shared = materialise(dealt.join(repeated, "h", "left_semi"), "suffix-shared")
+    drop(dealt)
     # one row per different run: how often it occurs, and which row of docs stands for it
-    different = dealt.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("k1").alias("stands"))
-    anchors = different.groupBy("h").agg(F.count("*").alias("kinds"), F.sum("n").alias("times")).where("times > 1")
-    verdicts = different.join(anchors, "h").select("h", "g", (F.col("n") > 1).alias("settled"), F.when(F.col("kinds") == 1, 0).when(F.col("kinds") <= hot, 1).otherwise(2).alias("how"), "stands")
-    wanted = dealt.join(verdicts, ["h", "g"]).select("k1", "k2", F.struct("lo", "hi", "at", "h", "settled", F.when(F.col("k1") == F.col("stands"), F.col("how")).otherwise(0).alias("how")).alias("r"))
+    different = shared.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("k1").alias("stands"))
+    kinds = shared.groupBy("h", "g").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("kinds"))
+    verdicts = different.join(kinds, "h").select("h", "g", (F.col("n") > 1).alias("settled"), F.when(F.col("kinds") == 1, 0).when(F.col("kinds") <= hot, 1).otherwise(2).alias("how"), "stands")
+    wanted = shared.join(verdicts, ["h", "g"]).select("k1", "k2", F.struct("lo", "hi", "at", "h", "settled", F.when(F.col("k1") == F.col("stands"), F.col("how")).otherwise(0).alias("how")).alias("r"))
     wanted = materialise(wanted.where("r.settled OR r.how > 0").groupBy("k1", "k2").agg(F.collect_list("r").alias("r")), "suffix-runs")
+    drop(shared)
 
     # texts travel as zstd frames, a third of their size; both joins below bring them together with verdicts
 
@@ -316,7 +324,8 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
     often = single.groupBy("h", "w1", "w2").agg(F.count("*").alias("n")).where("n > 1").drop("n")
     counted = single.where("NOT settled").join(often, ["h", "w1", "w2"]).select("k1", "k2", "lo", F.col("lo").alias("hi"))
 
-    found = solved.unionByName(counted).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("more"))
+    found = materialise(solved.unionByName(counted).groupBy("k1", "k2").agg(F.collect_list(F.struct("lo", "hi")).alias("more")), "suffix-found")
+    drop(snipped)
     known = wanted.select("k1", "k2", F.filter("r", lambda r: r["settled"]).alias("r"))
     marks = known.join(found, ["k1", "k2"], "full_outer").select("k1", "k2", F.col("r.lo").alias("lo"), F.col("r.hi").alias("hi"), F.col("more.lo").alias("lo2"), F.col("more.hi").alias("hi2"))
     joined = packed.join(marks, ["k1", "k2"], "left").select("doc_id", "text", "lo", "hi", "lo2", "hi2")
