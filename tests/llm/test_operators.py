@@ -137,36 +137,54 @@ def test_chunks_resist_insertions():
     assert len(after - before) <= 5
 
 
-def test_chunk_dedup(docs, rows, empty):
-    copies = collections.Counter(d for _, text, *_ in rows for a, b, d in cdc.chunks(raw(text)) if b - a >= cdc.LEAST)
-    first = {}
-    last = 2**63 - 1
-    for doc_id, text, *_ in rows:
-        for a, b, d in cdc.chunks(raw(text)):
-            first[d] = min(first.get(d, last), last if doc_id is None else doc_id)
-    want = collections.Counter()
-    for doc_id, text, *_ in rows:
-        b, kept, seen, repeated = raw(text), [], set(), 0
-        own = cdc.chunks(b)
-        again = [e - s >= cdc.LEAST and copies[d] > 1 for s, e, d in own]
+def slow_chunk_dedup(rows, run):
+    """Counter of (doc_id, n_repeated, kept_sha256, plain_repeated, plain_sha256): rows in the order of doc_id, one after
+    the other, and equal rows in any order. Which of two different rows of one doc_id comes first is left open: `first`."""
+    cut = [(doc_id, text, raw(text), cdc.chunks(raw(text))) for doc_id, text, *_ in rows]
+    copies = collections.Counter(d for *_, own in cut for _, _, d in own)
+    seen, out = set(), collections.Counter()
+    for doc_id, text, b, own in sorted(cut, key=lambda x: (x[0] is None, x[0] or 0)):
+        again = [copies[d] > 1 for _, _, d in own]
+        kept, plain, repeated, fresh = [], [], 0, set()
         for n, (s, e, d) in enumerate(own):
             low = high = n
             while low >= 0 and again[low]:
                 low -= 1
             while high < len(own) and again[high]:
                 high += 1
-            out = again[n] and own[high - 1][1] - own[low + 1][0] >= cdc.RUN
-            repeated += (e - s) * out
-            if not out or (first[d] == (last if doc_id is None else doc_id) and d not in seen):
-                kept.append(b[s:e])
-            seen.add(d)
-        rest = b"".join(kept)
-        want[(doc_id, len(b), repeated, len(b) - len(rest), hashlib.sha256(rest).hexdigest())] += 1
-    out = cdc.dedup_chunks(docs)
-    assert collections.Counter((r.doc_id, r.n_bytes, r.n_repeated, r.n_removed, r.kept_sha256) for r in out.collect()) == want
+            long = again[n] and own[high - 1][1] - own[low + 1][0] >= run
+            repeated += (e - s) * long
+            out_now = again[n] and d in seen | fresh
+            kept += [] if out_now and long else [b[s:e]]
+            plain += [] if out_now else [b[s:e]]
+            fresh.add(d)
+        seen |= fresh
+        out[(doc_id, len(b), repeated, hashlib.sha256(b"".join(kept)).hexdigest(), sum(e - s for (s, e, _), x in zip(own, again, strict=True) if x), hashlib.sha256(b"".join(plain)).hexdigest())] += 1
+    return out
+
+
+@pytest.mark.parametrize("run", [cdc.RUN, 0])
+def test_chunk_dedup(docs, rows, empty, run):
+    """Repeated rows, of which one keeps its chunks; 40 copies of a text; null ids, which come last."""
+    got = cdc.dedup_chunks(docs, run=run).collect()
+    assert collections.Counter((r.doc_id, r.n_bytes, r.n_repeated, r.kept_sha256, r.plain_repeated, r.plain_sha256) for r in got) == slow_chunk_dedup(rows, run)
+    assert all(r.n_removed == r.n_bytes - len(r.kept) and hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 and r.n_repeated <= r.plain_repeated and r.n_removed <= r.plain_removed for r in got)
     assert cdc.dedup_chunks(empty).count() == 0
 
 
+def test_chunk_dedup_of_equal_rows_and_ids(spark):
+    """Of equal rows one stays whole, with and without an id, and so it is for two texts of one id that share a passage."""
+    rng = random.Random(17)
+    a, b, c, shared = words(rng, 60, 10**6), words(rng, 60, 10**6), words(rng, 60, 10**6), words(rng, 80, 10**6)
+    rows = [(1, a, "en", "s")] * 3 + [(None, b, "en", "s")] * 2 + [(2, c + " " + shared, "en", "s"), (2, shared + " " + c[::-1], "en", "s")]
+    got = collections.defaultdict(list)
+    for r in cdc.dedup_chunks(documents(spark, rows)).collect():
+        got[r.doc_id].append((r.n_bytes, r.n_removed))
+    assert sorted(n for _, n in got[1])[0] == 0 and sum(n == size for size, n in got[1]) == 2
+    assert sorted(n for _, n in got[None])[0] == 0 and sum(n == size for size, n in got[None]) == 1
+    assert sorted(n > 0 for _, n in got[2]) == [False, True]
+
+
 def test_chunk_dedup_catches_passages_of_over_fifty_words(spark):
     rng = random.Random(4)
     rows = []
