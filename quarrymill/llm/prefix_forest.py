@@ -1,139 +1,326 @@
 """Approximate nearest neighbours by a hash-prefix forest.
 
-Every tree gives a vector a long string of hash bits (signs of random projections); a tree is the sorted array of the
-strings. A query descends to the longest prefix it shares with any string in a tree, and then all trees are ascended
-together, one bit at a time, until the prefix ranges hold enough candidates. Those are scored exactly.
+Every tree gives a vector a long string of hash bits (signs of projections on random directions, orthogonal ones in
+groups); a tree is the sorted array of the strings. A query descends to the longest prefix that any tree shares with it,
+and then all trees are ascended together, one bit at a time: each step widens the ranges of the sorted arrays that share
+the prefix, and the new candidates are scored exactly. The ascent ends when a vector as near as the k-th best so far
+would have been met by now with probability `target`: one that shares a bit with probability p shares a prefix of depth d
+in one of the trees with 1 - (1 - p^d)^trees. So the share that is scored follows from the data: it falls as the table
+grows and neighbours get nearer, and no number of candidates is fixed.
 
 For the largest inner product, vectors are first brought to one length by an added coordinate, which makes the order of
 inner products that of angles. Equal vectors are one class, indexed once, with its smallest ids (ties go to those).
-Classes are dealt to blocks of bounded size by hash; each block is a forest of its own and meets the queries in blocks
-too, so memory is bounded, no class is skipped, and a lost task repeats one pair of blocks. Each pair hands on at most
-k candidates for a query.
+Vectors of different lengths are searched each among their like.
+
+A table too large for one task is cut by a tree of its own: leaves are prefixes of variable length, as long as it takes
+for at most `block` classes, and every class goes to its one leaf. A query goes to those leaves that together hold a
+k-th neighbour with probability `route`, the likeliest first; how likely a leaf is follows from how far the query lies
+from each of its planes and from the angle of a k-th neighbour, which a bounded sample gives (`SAMPLE`). Each leaf builds
+its forest once for up to `QUERIES` queries and hands on at most k candidates for each. Leaves whose vectors no prefix
+tells apart are cut to parts by hash, which are all searched.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+from functools import cache
+from statistics import NormalDist
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrymill.llm.common import materialise
+from quarrymill.llm.common import drop_since, mark, materialise
 
 TREES = 72
-BITS = 32
-SHARE = 1.0  # rows that the ranges of all trees must hold together, as a multiple of the block (about two thirds of it are different)
-BLOCK = 16_384
-QUERIES = 4_096
+BITS = 24
+TARGET = 0.9  # for the k-th neighbour; nearer ones are found more surely
+ROUTE = 0.995
+BLOCK = 16_384  # classes of a leaf
+QUERIES = 65_536  # queries that meet a leaf in one task
+SAMPLE = 2_048  # classes that the angle of a k-th neighbour is estimated from
+
+
+@cache
+def planes(dimension: int, count: int, seed: int) -> np.ndarray:
+    """Directions as columns, orthogonal in groups of `dimension`, each as long as a standard normal one is on average."""
+    rng = np.random.default_rng([seed, dimension])
+    groups = [np.linalg.qr(rng.standard_normal((dimension, dimension)))[0] for _ in range(-(-count // dimension))]
+    return np.hstack(groups)[:, :count] * math.sqrt(dimension) if count else np.zeros((dimension, 0))
+
+
+def augmented(base: np.ndarray, top: float) -> np.ndarray:
+    """Rows scaled by the largest length (its square is `top`), with a coordinate that makes each of length 1."""
+    squares = (base**2).sum(axis=1)
+    return np.hstack([base / math.sqrt(top), np.sqrt(np.maximum(0, 1 - squares / top))[:, None]])
+
+
+def probes_of(queries: np.ndarray) -> np.ndarray:
+    return np.hstack([queries / np.sqrt((queries**2).sum(axis=1))[:, None], np.zeros((len(queries), 1))])
+
+
+def met(cosine: float, depth: int, trees: int) -> float:
+    """The probability that a vector at this cosine shares a prefix of `depth` bits in one of the trees."""
+    p = 1 - math.acos(max(-1.0, min(1.0, cosine))) / math.pi
+    return 1 - (1 - p**depth) ** trees
 
 
 class Forest:
     """Sorted arrays of hash strings over unit vectors."""
 
     def __init__(self, vectors: np.ndarray, trees: int = TREES, bits: int = BITS, seed: int = 20260701):
-        self.trees, self.bits = trees, bits
-        self.planes = np.random.default_rng(seed).standard_normal((vectors.shape[1], trees * bits))
+        self.trees, self.bits, self.count = trees, bits, len(vectors)
+        self.planes = planes(vectors.shape[1], trees * bits, seed)
         strings = self.strings(vectors)
         self.order = np.argsort(strings, axis=0, kind="stable")
         self.sorted = np.take_along_axis(strings, self.order, axis=0)
 
     def strings(self, vectors: np.ndarray) -> np.ndarray:
         """vectors x trees hash strings, first bit highest."""
-        signs = (vectors @ self.planes > 0).reshape(len(vectors), self.trees, self.bits).astype(np.uint64)
-        return (signs << np.arange(self.bits - 1, -1, -1, dtype=np.uint64)).sum(axis=2, dtype=np.uint64)
-
-    def candidates(self, queries: np.ndarray, enough: int):
-        """For each query the indexed rows in the ranges of all trees, at the longest common depth that has enough."""
-        strings, n = self.strings(queries), len(self.order)
-        low = np.zeros((len(queries), self.trees), np.int64)
-        high = np.full((len(queries), self.trees), n, np.int64)
-        going = np.ones(len(queries), bool)
-        for depth in range(self.bits, 0, -1):  # from the leaves upwards, all trees at once
-            shift = np.uint64(self.bits - depth)
-            first = strings[going] >> shift << shift
-            last = first | np.uint64((1 << (self.bits - depth)) - 1)
-            a, b = np.empty(first.shape, np.int64), np.empty(first.shape, np.int64)
-            for t in range(self.trees):
-                a[:, t] = np.searchsorted(self.sorted[:, t], first[:, t], side="left")
-                b[:, t] = np.searchsorted(self.sorted[:, t], last[:, t], side="right")
-            full = (b - a).sum(axis=1) >= enough
-            rows = np.flatnonzero(going)[full]
-            low[rows], high[rows] = a[full], b[full]
-            going[rows] = False
-            if not going.any():
-                break
-        for q in range(len(queries)):
-            if going[q]:  # the whole block
-                yield np.arange(n)
-                continue
-            seen = np.zeros(n, bool)
+        out = np.zeros((len(vectors), self.trees), np.int64)
+        for at in range(0, len(vectors), 4096):
+            signs = (vectors[at : at + 4096] @ self.planes > 0).reshape(-1, self.bits, self.trees)  # trees of a group differ most
+            for bit in range(self.bits):
+                out[at : at + 4096] |= signs[:, bit].astype(np.int64) << (self.bits - 1 - bit)
+        return out
+
+    def ranges(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each query, depth (0 to bits) and tree the range of the sorted array that shares the prefix."""
+        low = np.zeros((len(strings), self.bits + 1, self.trees), np.int32)
+        high = np.full_like(low, self.count)
+        for depth in range(1, self.bits + 1):
+            shift = self.bits - depth
+            first = strings >> shift << shift
             for t in range(self.trees):
-                seen[self.order[low[q, t] : high[q, t], t]] = True
-            yield np.flatnonzero(seen)
+                low[:, depth, t] = np.searchsorted(self.sorted[:, t], first[:, t], side="left")
+                high[:, depth, t] = np.searchsorted(self.sorted[:, t], first[:, t] + (1 << shift) - 1, side="right")
+        return low, high
 
+    def ascend(self, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """Depth and the rows that it adds, from the longest prefix that any tree shares up to the root."""
+        seen = np.zeros(self.count, bool)
+        many = (high - low).sum(axis=1)
+        before = np.zeros(self.count, bool)
+        for depth in range(int(np.flatnonzero(many)[-1]), -1, -1):
+            if depth == 0:
+                seen[:] = True
+            else:
+                for t in np.flatnonzero(high[depth] > low[depth]):
+                    seen[self.order[low[depth, t] : high[depth, t], t]] = True
+            fresh = np.flatnonzero(seen & ~before)
+            before[fresh] = True
+            yield depth, fresh
 
-def augmented(base: np.ndarray) -> np.ndarray:
-    """Rows scaled by the largest length, with a coordinate that makes each of length 1."""
-    squares = (base**2).sum(axis=1)
-    top = squares.max(initial=0) or 1.0
-    return np.hstack([base / np.sqrt(top), np.sqrt(np.maximum(0, 1 - squares / top))[:, None]])
-
-
-def search_block(base: np.ndarray, ids: list[list[int]], queries: np.ndarray, query_ids: np.ndarray, k: int, share: float) -> list[tuple]:
-    """(query_id, vec_id, score) of up to k best candidates of each query in one block."""
-    forest = Forest(augmented(base))
-    lengths = np.sqrt((queries**2).sum(axis=1))
-    probes = np.hstack([queries / np.where(lengths > 0, lengths, 1)[:, None], np.zeros((len(queries), 1))])
-    first = np.array([own[0] for own in ids])
-    out = []
-    for q, found in enumerate(forest.candidates(probes, max(4 * k, int(share * len(base))))):
-        query, own = queries[q], int(query_ids[q])
-        rough = base[found] @ query
-        if len(found) > 2 * k + 2:
-            found = found[rough >= np.partition(rough, len(rough) - k - 2)[len(rough) - k - 2] - 1e-9 * (1 + np.abs(rough).max())]
-        scores = (base[found] * query).sum(axis=1)
-        best = []
-        for i in np.lexsort((first[found], -scores)):
-            if len(best) > 2 * k and scores[i] < best[k][0]:
-                break
-            best += [(scores[i], v) for v in ids[found[i]] if v != own]
-        best.sort(key=lambda x: (-x[0], x[1]))
-        out += [(own, v, float(s)) for s, v in best[:k]]
-    return out
-
-
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, share: float = SHARE, block: int = BLOCK, block_queries: int = QUERIES) -> DataFrame:
+
+def search_block(base: np.ndarray, ids: list[list[int]], queries: np.ndarray, query_ids: np.ndarray, k: int, top: float, hope: float = -1.0, target: float = TARGET) -> tuple[list[tuple], int]:
+    """(query_id, vec_id, score) of up to k best candidates of each query in one block, and how many rows were scored.
+
+    top: the square of the longest vector of the whole table; hope: a cosine that a k-th neighbour in the whole table
+    has at least, so that one block need not look for worse ones."""
+    forest = Forest(augmented(base, top))
+    first, copies = np.array([own[0] for own in ids]), np.array([len(own) for own in ids])
+    lengths = np.sqrt((queries**2).sum(axis=1)) * math.sqrt(top)
+    out, scored = [], 0
+    for at in range(0, len(queries), 256):
+        low, high = forest.ranges(forest.strings(probes_of(queries[at : at + 256])))
+        for q in range(len(low)):
+            query, own = queries[at + q], int(query_ids[at + q])
+            rows, scores = np.zeros(0, np.int64), np.zeros(0)
+            for depth, fresh in forest.ascend(low[q], high[q]):
+                rows, scores = np.concatenate([rows, fresh]), np.concatenate([scores, (base[fresh] * query).sum(axis=1)])
+                if len(rows) > k:  # one of them may be the query itself
+                    kth = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
+                    if met(max(float(kth) / lengths[at + q], hope), depth, forest.trees) >= target:
+                        break
+            scored += len(rows)
+            order = np.lexsort((first[rows], -scores))
+            best: list[tuple] = []
+            for i in order:
+                if len(best) > k and scores[i] < best[k][0]:
+                    break
+                best += [(scores[i], v) for v in ids[rows[i]] if v != own]
+            best.sort(key=lambda x: (-x[0], x[1]))
+            out += [(own, v, float(s)) for s, v in best[:k]]
+    return out, scored
+
+
+class Router:
+    """Leaves of the routing tree of one vector length, and which of them a query visits."""
+
+    def __init__(self, dimension: int, classes: int, top: float, block: int, seed: int = 20260702):
+        self.top, self.block = top, block
+        self.bits = 0 if classes <= block else min(30, math.ceil(math.log2(classes / block)) + 3)
+        self.planes = planes(dimension + 1, self.bits, seed)
+        self.leaves: list[tuple[int, int, int]] = [(0, 0, 1)]  # prefix, its bits, parts
+        self.cosine, self.mean, self.spread = 0.0, np.zeros(dimension + 1), np.ones(self.bits)
+
+    def learn(self, sample: np.ndarray, k: int, classes: int) -> None:
+        """The angle of a k-th neighbour, and where vectors lie along the planes, from a sample of the table."""
+        unit = augmented(sample, self.top)
+        self.cosine = expected_cosine(unit, probes_of(sample), k, classes)
+        self.mean, self.spread = unit.mean(axis=0), (unit @ self.planes).std(axis=0)
+
+    def codes(self, unit: np.ndarray) -> np.ndarray:
+        signs = (unit @ self.planes > 0).astype(np.int64)
+        return (signs << np.arange(self.bits - 1, -1, -1)).sum(axis=1) if self.bits else np.zeros(len(unit), np.int64)
+
+    def grow(self, counts: dict[int, int]) -> None:
+        """Leaves from the number of classes of each full code: a prefix is cut while it holds too many classes."""
+        codes = np.array(sorted(counts), np.int64)
+        upto = np.concatenate([[0], np.cumsum([counts[c] for c in codes.tolist()])])
+        self.leaves, waiting = [], [(0, 0)]
+        while waiting:
+            prefix, depth = waiting.pop()
+            shift = self.bits - depth
+            a, b = np.searchsorted(codes, [prefix << shift, (prefix + 1) << shift])
+            many = int(upto[b] - upto[a])
+            if many > self.block and depth < self.bits:
+                waiting += [(2 * prefix + 1, depth + 1), (2 * prefix, depth + 1)]
+            elif many:
+                self.leaves.append((prefix, depth, -(-many // self.block)))
+        self.leaves.sort(key=lambda leaf: leaf[0] << (self.bits - leaf[1]))
+
+    def leaf_of(self, codes: np.ndarray) -> np.ndarray:
+        starts = np.array([prefix << (self.bits - depth) for prefix, depth, _ in self.leaves], np.int64)
+        return np.searchsorted(starts, codes, side="right") - 1
+
+    def visits(self, unit: np.ndarray, route: float) -> Iterator[np.ndarray]:
+        """For each query the leaves to visit."""
+        if len(self.leaves) == 1:
+            yield from np.zeros((len(unit), 1), np.int64)
+            return
+        depth = np.array([d for _, d, _ in self.leaves])
+        places = np.arange(self.bits)
+        inside = places[None, :] < depth[:, None]
+        full = np.array([p << (self.bits - d) for p, d, _ in self.leaves], np.int64)
+        ones = (full[:, None] >> (self.bits - 1 - places)[None, :] & 1).astype(bool)
+        across = self.spread * math.sqrt(max(1e-9, 1 - self.cosine**2))
+        for at in range(0, len(unit), 256):
+            own = unit[at : at + 256]
+            margin = own @ self.planes
+            # a neighbour is a part of the query and a rest, which is like that of any vector of the table
+            rest = self.mean @ self.planes - (own @ self.mean)[:, None] * margin
+            high = np.vectorize(NormalDist().cdf, otypes=[float])((self.cosine * margin + rest) / np.maximum(across, 1e-9))  # that its bit is 1
+            one, zero = np.log(np.maximum(high, 1e-12)), np.log(np.maximum(1 - high, 1e-12))
+            chance = np.exp(one @ (inside & ones).T + zero @ (inside & ~ones).T)
+            chance /= np.maximum(chance.sum(axis=1, keepdims=True), 1e-300)  # empty leaves hold none
+            order = np.argsort(-chance, axis=1, kind="stable")
+            upto = np.cumsum(np.take_along_axis(chance, order, axis=1), axis=1)
+            for row, sums in zip(order, upto, strict=True):
+                yield row[: int(np.searchsorted(sums, route)) + 1]
+
+
+def expected_cosine(unit: np.ndarray, probes: np.ndarray, k: int, classes: int) -> float:
+    """A cosine that the k-th neighbour among so many classes has at least, for nine queries in ten.
+
+    The sample's own cosines tell it as far as they reach; beyond, their upper tail is carried on by a little less than
+    its slope over the normal deviate, which bends down where lengths or dimensions bound it."""
+    n = len(unit)
+    if n < 100 or classes <= k:
+        return -1.0
+    cosines = probes @ unit.T
+    np.fill_diagonal(cosines, -np.inf)
+    at = lambda share: np.partition(cosines, n - 1 - int(share * n), axis=1)[:, n - 1 - int(share * n)]
+    share = max(k / classes, 4 / n)
+    low = at(share)
+    if k / classes < share:
+        deviate = lambda x: NormalDist().inv_cdf(1 - x)
+        slope = (low - at(32 / n)) / (deviate(4 / n) - deviate(32 / n))
+        low = low + 0.8 * slope * (deviate(k / classes) - deviate(share))
+    return float(min(1.0, np.quantile(low, 0.1)))
+
+
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, target: float = TARGET, route: float = ROUTE, block: int = BLOCK) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of every row whose vec_id is divisible by `every`.
 
-    vectors: vec_id and embedding (array of numbers). Rows with a null id or vector, a null or non-finite component,
-    no component but zeros, or a length other than the most frequent one (the smaller of two) take no part. Rows that
-    repeat a vec_id are that vector once for each different embedding. Other columns are left aside.
+    vectors: vec_id and embedding (array of numbers). Rows with a null id or vector, a null or non-finite component, or no
+    component but zeros take no part; vectors of other lengths than a query's are no candidates of it. Rows that repeat a
+    vec_id are that vector once for each different embedding. Other columns are left aside. An empty table gives an empty
+    result. The driver gets a row for each vector length, at most 16 counts for each leaf, and the sample.
     """
+    start = mark()
     item = F.col("embedding").cast("array<double>")
     clean = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.transform(item, lambda x: F.when(x == 0, F.lit(0.0)).otherwise(x)).alias("v"))
     finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     clean = clean.where(F.col("vec_id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0) & F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0)).distinct()
-    size = clean.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    dimension = size["d"] if size else 1
-    clean = clean.where(F.size("v") == dimension)
     # the k + 1 smallest ids of each class: ranked in parts first, so a class of any size is spread
     part = Window.partitionBy("v", F.pmod("vec_id", F.lit(64))).orderBy("vec_id")
     whole = Window.partitionBy("v").orderBy("vec_id")
     few = clean.withColumn("n", F.row_number().over(part)).where(F.col("n") <= k + 1).withColumn("n", F.row_number().over(whole)).where(F.col("n") <= k + 1)
-    classes = materialise(few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")), "forest-classes")
-    asked = clean.where(F.pmod("vec_id", F.lit(every)) == 0)
-    base_blocks = max(1, -(-classes.count() // block))
-    query_blocks = max(1, -(-asked.count() // block_queries))
-    base = classes.select(F.pmod(F.xxhash64(F.element_at("ids", 1)), F.lit(base_blocks)).alias("b"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("q"), F.lit(None).cast("long").alias("query_id"), "ids", "v")
-    queries = asked.select(F.explode(F.sequence(F.lit(0).cast("long"), F.lit(base_blocks - 1).cast("long"))).alias("b"), F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(query_blocks)).cast("int").alias("q"), F.col("vec_id").alias("query_id"), F.array().cast("array<long>").alias("ids"), "v")
+    length = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    classes = materialise(few.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")).withColumns({"d": F.size("v"), "squares": length}), "forest-classes")
+    routers = {r["d"]: Router(r["d"], r["n"], r["top"], block) for r in classes.groupBy("d").agg(F.count("*").alias("n"), F.max("squares").alias("top")).collect()}
+    sizes = {r["d"]: r["count"] for r in classes.groupBy("d").count().collect()}
+    for d, router in routers.items():
+        sample = classes.where(F.col("d") == d).orderBy(F.xxhash64("v"), "v").limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
+        router.learn(np.array(sample.flatten()).reshape(len(sample), d), k, sizes[d])
+
+    def unit_rows(batch: pa.RecordBatch, column: int, probe: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Vector length, rows of the batch that have it, and their unit vectors."""
+        values = batch.column(column)
+        lengths = np.diff(values.offsets.to_numpy())
+        for d in np.unique(lengths).tolist():
+            rows = np.flatnonzero(lengths == d)
+            own = np.array(values.take(pa.array(rows)).flatten()).reshape(len(rows), d)
+            yield d, rows, probes_of(own) if probe else augmented(own, routers[d].top)
+
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for d, rows, unit in unit_rows(batch, 0, False):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), d)), pa.array(routers[d].codes(unit))], names=["d", "code"])
+
+    grown: dict[int, dict[int, int]] = {}
+    if any(r.bits for r in routers.values()):
+        for r in classes.select("v").mapInArrow(coded, "d long, code long").groupBy("d", "code").count().collect():
+            grown.setdefault(r["d"], {})[r["code"]] = r["count"]
+    for d, counts in grown.items():
+        routers[d].grow(counts)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for d, rows, unit in unit_rows(batch, 1, False):
+                own = batch.take(pa.array(rows))
+                leaf = routers[d].leaf_of(routers[d].codes(unit))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), d)), pa.array(leaf), *own.columns], names=["d", "leaf", "ids", "v"])
+
+    def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for d, rows, unit in unit_rows(batch, 1, True):
+                leaves = list(routers[d].visits(unit, route))
+                at = np.repeat(rows, [len(x) for x in leaves])
+                leaf = np.concatenate(leaves)
+                parts = np.array([p for *_, p in routers[d].leaves])[leaf]
+                within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+                own = batch.take(pa.array(np.repeat(at, parts)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(within), d)), pa.array(np.repeat(leaf, parts)), pa.array(within), *own.columns], names=["d", "leaf", "part", "query_id", "v"])
+
+    split = {(d, leaf): parts for d, r in routers.items() for leaf, (*_, parts) in enumerate(r.leaves) if parts > 1}
+    base = classes.select("ids", "v").mapInArrow(place, "d long, leaf long, ids array<long>, v array<double>")
+    parts = F.lit(1).cast("long")
+    if split:
+        known = F.create_map(*(x for (d, leaf), n in split.items() for x in (F.lit(f"{d}:{leaf}"), F.lit(n).cast("long"))))
+        parts = F.coalesce(known[F.concat_ws(":", "d", "leaf")], parts)
+    base = base.withColumn("part", F.pmod(F.xxhash64(F.element_at("ids", 1)), parts))
+    asked = clean.where(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), "v")
+    asked = materialise(asked.mapInArrow(visit, "d long, leaf long, part long, query_id long, v array<double>"), "forest-visits")
+    crowds = asked.groupBy("d", "leaf", "part").agg(F.ceil(F.count("*") / QUERIES).alias("crowds"))
+    keys = ["d", "leaf", "part", "crowd"]
+    queries = asked.join(crowds, ["d", "leaf", "part"]).withColumn("crowd", F.pmod(F.xxhash64("query_id", F.lit(3)), F.col("crowds"))).select(*keys, "query_id", "v")
+    base = base.join(crowds, ["d", "leaf", "part"]).withColumn("crowd", F.explode(F.sequence(F.lit(0).cast("long"), F.col("crowds") - 1))).select(*keys, "ids", "v")
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(left) and len(right):
             left, right = left.assign(_first=[own[0] for own in left["ids"]]).sort_values("_first"), right.sort_values("query_id")
-            rows = search_block(np.stack(left["v"].to_list()).astype(np.float64), left["ids"].to_list(), np.stack(right["v"].to_list()).astype(np.float64), right["query_id"].to_numpy(), k, share)
+            router = routers[int(left["d"].iloc[0])]
+            rows, _ = search_block(np.stack(left["v"].to_list()).astype(np.float64), left["ids"].to_list(), np.stack(right["v"].to_list()).astype(np.float64), right["query_id"].to_numpy(), k, router.top, router.cosine, target)
         return pd.DataFrame(rows, columns=["query_id", "vec_id", "score"]).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
 
-    found = base.groupBy("b", "q").cogroup(queries.groupBy("b", "q")).applyInPandas(meet, "query_id long, vec_id long, score double")
+    found = base.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInPandas(meet, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    best = materialise(found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"), "forest-found")
+    drop_since(start, best)
+    return best

@@ -208,7 +208,7 @@ def test_forest_recall_and_ties(spark):
     x = rng.standard_normal((3000, 24)).astype(np.float32) * rng.uniform(0.5, 2, (3000, 1)).astype(np.float32)
     x[100:160] = x[100]  # a class of copies
     got = collections.defaultdict(list)
-    for r in prefix_forest.nearest(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]), block=700, block_queries=60).orderBy("query_id", "rank").collect():
+    for r in prefix_forest.nearest(vectors(spark, [(i, v.tolist()) for i, v in enumerate(x)]), block=700).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.vec_id, r.score))
     d, hits = x.astype(np.float64), 0
     assert sorted(got) == list(range(0, 3000, 20))
@@ -229,6 +229,84 @@ def test_forest_leaves_out_what_is_no_vector(spark):
     assert prefix_forest.nearest(vectors(spark, rows[1:4])).count() == 0 and prefix_forest.nearest(vectors(spark, rows).where("false")).count() == 0
 
 
+def exact_neighbours(x, ids, queries, k=20):
+    score = x[queries] @ x.T
+    score[np.arange(len(queries)), queries] = -np.inf
+    return [set(ids[np.lexsort((ids, -row))[:k]].tolist()) for row in score]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_forest_recall_on_the_tables(spark, sf):
+    """The registered query against brute force."""
+    from quarrymill.llm import queries
+
+    folder = f"/root/testdata/{sf}"
+    table = spark.read.parquet(f"{folder}/embeddings.parquet").select("vec_id", "embedding").toPandas()
+    x, ids = np.stack(table["embedding"].to_list()).astype(np.float64), table["vec_id"].to_numpy()
+    asked = np.flatnonzero(ids % 20 == 0)
+    want = dict(zip(ids[asked].tolist(), exact_neighbours(x, ids, asked), strict=True))
+    got = collections.defaultdict(set)
+    for r in queries.op3_prefix_forest(spark, folder).collect():
+        got[r.query_id].add(r.vec_id)
+    assert set(got) == set(want) and all(len(v) == 20 for v in got.values())
+    assert sum(len(got[q] & want[q]) for q in want) >= 0.9 * 20 * len(want)
+
+
+def test_forest_scores_little_where_neighbours_are_near():
+    """In clusters, as real embeddings are, the ascent ends after a small share; recall by brute force."""
+    rng = np.random.default_rng(16)
+    centres = rng.standard_normal((200, 32))
+    x = centres[rng.integers(0, 200, 6000)] + 0.35 * rng.standard_normal((6000, 32))
+    queries = np.arange(0, 6000, 60)
+    found, scored = prefix_forest.search_block(x, [[i] for i in range(6000)], x[queries], queries, 20, float((x**2).sum(axis=1).max()))
+    got = collections.defaultdict(set)
+    for q, v, _ in found:
+        got[q].add(v)
+    want = exact_neighbours(x, np.arange(6000), queries)
+    assert sum(len(got[int(q)] & w) for q, w in zip(queries, want, strict=True)) >= 0.9 * 20 * len(queries)
+    assert scored < 0.4 * 6000 * len(queries)
+
+
+def test_router_sends_queries_to_few_leaves():
+    rng = np.random.default_rng(17)
+    centres = rng.standard_normal((300, 24))
+    x = centres[rng.integers(0, 300, 20_000)] + 0.25 * rng.standard_normal((20_000, 24))
+    top = float((x**2).sum(axis=1).max())
+    router = prefix_forest.Router(24, len(x), top, 500)
+    unit = prefix_forest.augmented(x, top)
+    codes = router.codes(unit)
+    router.grow(dict(zip(*(c.tolist() for c in np.unique(codes, return_counts=True)), strict=True)))
+    leaf = router.leaf_of(codes)
+    assert len(router.leaves) > 30 and len({d for _, d, _ in router.leaves}) > 1
+    assert all(np.bincount(leaf, minlength=len(router.leaves))[i] <= 500 * parts for i, (*_, parts) in enumerate(router.leaves))
+    queries = np.arange(0, len(x), 200)
+    router.learn(x[:2000], 20, len(x))
+    visited = [set(v.tolist()) for v in router.visits(prefix_forest.probes_of(x[queries]), 0.98)]
+    want = exact_neighbours(x, np.arange(len(x)), queries)
+    assert sum(leaf[v] in own for own, w in zip(visited, want, strict=True) for v in w) >= 0.95 * 20 * len(queries)
+    assert sum(map(len, visited)) < 0.8 * len(router.leaves) * len(queries)
+
+
+def test_forest_with_leaves_of_copies_and_vector_lengths(spark):
+    """Small leaves, some that no prefix cuts; two vector lengths, each searched by itself; all candidates, if fewer."""
+    rng = np.random.default_rng(18)
+    x = rng.standard_normal((900, 8))
+    x[300:700] = x[300] * (1 + 1e-9 * np.arange(400))[:, None]  # nearly equal: no plane parts them
+    y = rng.standard_normal((12, 5))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(2000 + i, v.tolist()) for i, v in enumerate(y)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    got = collections.defaultdict(list)
+    for r in prefix_forest.nearest(df, block=60).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert set(got) == {*range(0, 900, 20), 2000} and all(len(v) == 20 for q, v in got.items() if q < 900)
+    score = y @ y[0]
+    assert got[2000] == [2000 + int(i) for i in np.argsort(-score) if i != 0]
+    asked = np.arange(0, 900, 20)
+    want = exact_neighbours(x, np.arange(900), asked)
+    plain = [i for i, q in enumerate(asked.tolist()) if not 300 <= q < 700]
+    assert sum(len(set(got[int(asked[i])]) & want[i]) for i in plain) >= 0.9 * 20 * len(plain)
+
+
 # --- 4 simhash
 
 
