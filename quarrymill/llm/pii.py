@@ -36,7 +36,9 @@ BASE = {
 }
 BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
-# Generators: kind of the span, pattern. Their spans may overlap each other and the base spans.
+# Generators: kind of the span, pattern. Their spans may overlap each other and the base spans. Their bounds are those of the
+# things they look for: 64 characters of a mailbox, 63 of a host's label and four labels after it, 7 to 15 digits of a
+# number, 34 characters of an account. Longer runs are no candidates; plain addresses of any length are base spans.
 GENERATORS = (
     ("email", r"(?i)(?<![A-Z0-9._%+-])[A-Z0-9._%+-]{1,64}+\x20?(?:@|\(at\)|\[at\]|\x20at\x20)\x20?[A-Z0-9-]{1,63}+(?:\x20?(?:\.|\(dot\)|\[dot\]|\x20dot\x20)\x20?[A-Z0-9-]{2,63}+){1,4}"),
     ("phone", r"(?<![0-9A-Za-z])\(?[0-9](?:[\x20().-]{0,2}+[0-9]){6,14}+(?![0-9A-Za-z])"),
@@ -48,6 +50,7 @@ WRITTEN = r"(?i)@.*\x20dot\x20|[(\[]at[)\]]|[(\[]dot[)\]]|\x20at\x20.*\x20dot\x2
 # Words that announce personal data, in the languages at hand; fixed values.
 CUES = "account|call|card|cell|contact|email|e-mail|fax|host|iban|mac|mail|mobile|number|phone|reach|ssn|social|tel|telefon|telefono|courriel|konto"
 BEFORE = 24  # characters of context
+CUT = 4096  # code points of a piece of text
 
 EXAMPLES = 4000
 
@@ -63,35 +66,100 @@ def luhn_of(digits: str) -> bool:
     return sum(doubled) % 10 == 0
 
 
-def located(matches: Column, pieces: Column, kind: int) -> Column:
-    """Spans (kind, start, end, value) from the matches and from the pieces of text between them; one pass over both."""
-    pairs = F.zip_with(matches, F.slice(pieces, 1, F.size(matches)), lambda m, p: F.struct(m.alias("m"), F.length(p).alias("p")))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>").alias("out"))
-    span = lambda acc, x: F.struct(F.lit(kind).alias("kind"), (acc["at"] + x["p"]).alias("start"), (acc["at"] + x["p"] + F.length(x["m"])).alias("end"), x["m"].alias("value"))
-    return F.aggregate(pairs, empty, lambda acc, x: F.struct((acc["at"] + x["p"] + F.length(x["m"])).alias("at"), F.concat(acc["out"], F.array(span(acc, x))).alias("out")), lambda acc: acc["out"])
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of value, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def valid(kind: str, value: Column) -> Column:
-    digits = F.regexp_replace(value, "[^0-9]", "")
-    if kind == "ip":
-        return value.rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$")
-    if kind == "card":
-        return luhn(digits)
-    if kind == "phone":
-        return F.length(digits).between(8, 15)
-    return F.lit(True)
+def running(values: Column, step: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """The results of step (associative, with zero) over all values up to each one. Goes by blocks of about the square
+    root of their number, so that n values cost about n ** 1.5 short steps and no array is copied for each."""
+    fold = lambda part: F.aggregate(part, zero, step)
 
+    def by_blocks(v: Column) -> Column:
+        width = F.ceil(F.sqrt(F.size(v))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(v) / width).cast("int") - 1), lambda b: F.slice(v, b * width + 1, width))
+        one = lambda block, before: F.transform(block, lambda _, i: step(before, fold(F.slice(block, F.lit(1), i + 1))))
+        return let(blocks, lambda bs: let(F.transform(bs, fold), lambda sums: F.flatten(F.transform(bs, lambda block, n: let(fold(F.slice(sums, F.lit(1), n)), lambda before: one(block, before))))))
 
-def holds(kind: str) -> Callable[[Column], Column]:
-    return lambda span: valid(kind, span["value"])
+    return F.when(F.size(values) > 0, let(values, by_blocks)).otherwise(F.array().cast("array<int>"))
+
+
+def running_sum(values: Column) -> Column:
+    return running(values, lambda a, x: a + x, F.lit(0))
+
+
+def running_max(values: Column) -> Column:
+    return running(values, lambda a, x: F.greatest(a, x), F.lit(-1))
+
+
+def text_blocks(text: Column) -> Column:
+    """text in pieces of CUT code points, for `cut_out`."""
+    return F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / CUT).cast("int")), lambda b: F.substring(text, b * CUT + 1, F.lit(CUT)))
+
+
+def cut_out(blocks: Column, start: Column, end: Column) -> Column:
+    """The code points from start to end (exclusive) without a walk over all of the text before them."""
+    first = F.floor(start / CUT).cast("int")
+    return F.substring(F.array_join(F.slice(blocks, first + 1, F.floor(end / CUT).cast("int") - first + 1), ""), start - first * CUT + 1, F.greatest(end - start, F.lit(0)))
+
+
+def located(found: Column) -> Column:
+    """Spans (kind, start, end, value, generator) from a struct of kind, generator, the matches and the pieces of text
+    between them."""
+    matches, pieces = found["matches"], found["pieces"]
+    lengths = F.zip_with(matches, F.slice(pieces, F.lit(1), F.size(matches)), lambda m, p: F.length(m) + F.length(p))
+    span = lambda m, end: F.struct(found["kind"].alias("kind"), (end - F.length(m)).alias("start"), end.alias("end"), m.alias("value"), found["generator"].alias("generator"))
+    return F.zip_with(matches, running_sum(lengths), span)
+
+
+def apart(candidates: Column, base: Column) -> Column:
+    """The candidates that touch no base span. Base starts and candidates' ends in one order: a candidate is touched if a
+    base span that starts before its end reaches beyond its start."""
+    starts = F.transform(base, lambda s: F.struct(s["start"].alias("at"), F.lit(1).alias("kind"), s["end"].alias("reach"), F.lit(-1).alias("n")))
+    ends = F.transform(candidates, lambda s, n: F.struct(s["end"].alias("at"), F.lit(0).alias("kind"), F.lit(-1).alias("reach"), n.alias("n")))
+
+    def reaches(events: Column) -> Column:
+        reached = F.zip_with(events, running_max(F.transform(events, lambda e: e["reach"])), lambda e, r: F.struct(e["n"].alias("n"), r.alias("reach")))
+        return F.transform(F.array_sort(F.filter(reached, lambda e: e["n"] >= 0)), lambda e: e["reach"])
+
+    pairs = F.zip_with(candidates, let(F.array_sort(F.concat(starts, ends)), reaches), lambda c, reach: F.struct(c.alias("c"), reach.alias("reach")))
+    return F.when((F.size(base) > 0) & (F.size(candidates) > 0), F.transform(F.filter(pairs, lambda p: p["reach"] <= p["c"]["start"]), lambda p: p["c"])).otherwise(candidates)
+
+
+def best_of(candidates: Column) -> Column:
+    """The candidates (start, end, kind, odds, value) that no better one touches: by odds, then the earlier, then the
+    lesser kind. In order of start they fall into clusters that nothing crosses; each is compared within its own, so the
+    cost goes with the clusters' sizes."""
+
+    def beaten(c: Column, o: Column) -> Column:
+        first = (o["start"] < c["start"]) | ((o["start"] == c["start"]) & (o["kind"] < c["kind"]))
+        return (o["start"] < c["end"]) & (c["start"] < o["end"]) & ((o["odds"] > c["odds"]) | ((o["odds"] == c["odds"]) & first))
+
+    def clusters(s: Column) -> Column:
+        return let(running_max(F.transform(s, lambda c: c["end"])), lambda reach: F.filter(F.transform(s, lambda c, n: F.when((n == 0) | (c["start"] >= F.get(reach, n - 1)), n).otherwise(-1)), lambda n: n >= 0))
+
+    def within(s: Column, firsts: Column) -> Column:
+        members = F.transform(firsts, lambda n, i: F.slice(s, n + 1, F.coalesce(F.get(firsts, i + 1), F.size(s)) - n))
+        return F.flatten(F.transform(members, lambda own: F.filter(own, lambda c: ~F.exists(own, lambda o: beaten(c, o)))))
+
+    return let(F.array_sort(candidates), lambda s: F.when(F.size(s) > 1, let(clusters(s), lambda firsts: within(s, firsts))).otherwise(s))
+
+
+def valid(span: Column) -> Column:
+    """Whether a base match of its kind holds."""
+    digits = F.regexp_replace(span["value"], "[^0-9]", "")
+    is_kind = lambda kind: span["kind"] == KINDS.index(kind)
+    return F.when(is_kind("ip"), span["value"].rlike(rf"^{BYTE}(?:\.{BYTE}){{3}}$")).when(is_kind("card"), luhn(digits)).when(is_kind("phone"), F.length(digits).between(8, 15)).otherwise(True)
 
 
 def of_kind(number: int) -> Callable[[Column], Column]:
     return lambda span: span["kind"] == number
 
 
-def features_sql(generator: int) -> list[str]:
-    """The features of a candidate struct c (value, before, after) as SQL, in the order of FEATURES."""
+def features_sql(generator: int | str) -> list[str]:
+    """The features of a candidate struct c (value, before, after) as SQL, in the order of FEATURES; generator is a number
+    or an expression."""
     digits = "regexp_replace(c.value, '[^0-9]', '')"
     return [
         str(generator),
@@ -190,21 +258,25 @@ def with_spans(docs: DataFrame) -> DataFrame:
         found[f"_m{name}"] = F.when(test, F.regexp_extract_all("_text", F.lit(pattern), F.lit(0))).otherwise(none)
     out = out.withColumns(found)
     out = out.withColumns({f"_p{name}": F.when(F.size(f"_m{name}") > 0, F.split("_text", pattern, -1)).otherwise(none) for name, (pattern, _) in patterns.items()})
-    out = out.withColumn("_base", F.concat(*(F.filter(located(F.col(f"_mb{i}"), F.col(f"_pb{i}"), i), holds(k)) for i, k in enumerate(KINDS))))
     trees, thresholds = model()
     kinds = {k: i for i, k in enumerate((*KINDS, "account"))}
-    scored = []
-    for i, (kind, _) in enumerate(GENERATORS):
-        placed = F.filter(located(F.col(f"_mg{i}"), F.col(f"_pg{i}"), kinds[kind]), lambda s: ~F.exists("_base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-        out = out.withColumn(f"_c{i}", placed)
-        odds = boosting.as_sql(trees, [f"f[{n}]" for n in range(len(FEATURES))])
-        context = f"transform(_c{i}, s -> struct(s.kind AS kind, s.start AS start, s.end AS end, s.value AS value, substring(_text, greatest(s.start - {BEFORE} + 1, 1), least(s.start, {BEFORE})) AS before, substring(_text, s.end + 1, 1) AS after))"
-        out = out.withColumn(f"_x{i}", F.when(F.size(f"_c{i}") > 0, F.expr(f"transform({context}, c -> struct(c.kind AS kind, c.start AS start, c.end AS end, c.value AS value, array({', '.join(f'double({x})' for x in features_sql(i))}) AS f))")))
-        scored.append(F.when(F.size(f"_c{i}") > 0, F.expr(f"filter(transform(_x{i}, c -> struct(c.kind AS kind, c.start AS start, c.end AS end, c.value AS value, transform(array(c.f), f -> {odds})[0] AS odds)), c -> c.odds >= {thresholds[i] if np.isfinite(thresholds[i]) else 1e300!r}D)")).otherwise(F.array().cast("array<struct<kind:int,start:int,end:int,value:string,odds:double>>")))
-    out = out.withColumn("_added", F.concat(*scored))
-    beaten = lambda c: F.exists("_added", lambda o: (o["start"] < c["end"]) & (c["start"] < o["end"]) & ((o["odds"] > c["odds"]) | ((o["odds"] == c["odds"]) & ((o["start"] < c["start"]) | ((o["start"] == c["start"]) & (o["kind"] < c["kind"]))))))
-    added = F.transform(F.filter("_added", lambda c: ~beaten(c)), lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"), c["value"].alias("value")))
-    out = out.withColumn("_spans", F.when(F.size("_added") > 0, F.array_sort(F.concat("_base", added))).otherwise(F.col("_base")))
+    source = lambda name, kind, generator: F.struct(F.lit(kinds[kind]).alias("kind"), F.lit(generator).alias("generator"), F.col(f"_m{name}").alias("matches"), F.col(f"_p{name}").alias("pieces"))
+    sources = F.array(*(source(f"b{i}", k, -1) for i, k in enumerate(KINDS)), *(source(f"g{i}", k, i) for i, (k, _) in enumerate(GENERATORS)))
+    spans = "array<struct<kind:int,start:int,end:int,value:string,generator:int>>"
+    # all patterns go through one expression; texts without a match skip it
+    out = out.withColumn("_all", F.when(F.size(F.concat(*(f"_m{name}" for name in patterns))) > 0, F.flatten(F.transform(F.filter(sources, lambda x: F.size(x["matches"]) > 0), located))).otherwise(F.array().cast(spans)))
+    plain = lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"))
+    out = out.withColumn("_base", F.transform(F.filter("_all", lambda s: (s["generator"] < 0) & valid(s)), plain))
+    out = out.withColumn("_c", apart(F.filter("_all", lambda s: s["generator"] >= 0), F.col("_base")))
+    out = out.withColumn("_blocks", F.when(F.size("_c") > 0, text_blocks(F.col("_text"))))
+    context = F.transform("_c", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), s["generator"].alias("generator"), cut_out(F.col("_blocks"), F.greatest(s["start"] - BEFORE, F.lit(0)), s["start"]).alias("before"), cut_out(F.col("_blocks"), s["end"], s["end"] + 1).alias("after")))
+    out = out.withColumn("_x", F.when(F.size("_c") > 0, context))
+    features, odds = ", ".join(f"double({x})" for x in features_sql("c.generator")), boosting.as_sql(trees, [f"f[{n}]" for n in range(len(FEATURES))])
+    least = f"array({', '.join(f'{(float(t) if np.isfinite(t) else 1e300)!r}D' for t in thresholds)})"
+    judged = f"transform(_x, c -> struct(c.start AS start, c.end AS end, c.kind AS kind, c.value AS value, transform(array(array({features})), f -> {odds})[0] AS odds, c.generator AS generator))"
+    selected = f"transform(filter({judged}, c -> c.odds >= {least}[c.generator]), c -> struct(c.start AS start, c.end AS end, c.kind AS kind, c.value AS value, c.odds AS odds))"
+    out = out.withColumn("_added", F.when(F.size("_c") > 0, best_of(F.expr(selected))).otherwise(F.array().cast("array<struct<start:int,end:int,kind:int,value:string,odds:double>>")))
+    out = out.withColumn("_spans", F.when(F.size("_added") > 0, F.array_sort(F.concat("_base", F.transform("_added", plain)))).otherwise(F.col("_base")))
     return out.select(*docs.columns, "_text", "_base", "_spans")
 
 
@@ -217,7 +289,7 @@ def find(docs: DataFrame) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of every row of docs.
 
     Null text counts as empty. Rows that repeat give equal results; doc_id may be null. Other columns are left aside.
-    One pass, no shuffle.
+    An empty table gives an empty result. One pass, no shuffle; the cost of a text with n matches grows about as n ** 1.5.
     """
     out = with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")))
     counts = [F.size(F.filter("_base", of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
@@ -227,18 +299,23 @@ def find(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """docs with every span in text replaced by its kind in brackets; overlapping spans become one, named by the first.
 
-    Texts without spans, nulls among them, stay as they are; n_chars, if there is such a column, follows the text.
+    Texts without spans, nulls among them, stay as they are; n_chars, if there is such a column, follows the text. Rows
+    that repeat give equal rows; all other columns are carried apart, so none can clash. An empty table stays empty.
     """
     out = with_spans(carried(docs, F.col("text").cast("string").alias("text")))
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in (*KINDS, "account")))
-    by_start = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    empty = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
 
-    def step(acc: Column, s: Column) -> Column:
-        before = F.substring(F.col("_text"), acc["at"] + 1, s["start"] - acc["at"])
-        apart = F.struct(s["end"].alias("at"), F.concat(acc["out"], F.array(before, F.get(names, s["kind"]))).alias("out"))
-        return F.when(s["start"] >= acc["at"], apart).otherwise(F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["out"].alias("out")))
+    def merged(spans: Column, reach: Column) -> Column:
+        """The first of each group of overlapping spans, with what the spans before it reach."""
+        marked = F.transform(spans, lambda s, n: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), F.when(n == 0, 0).otherwise(F.get(reach, n - 1)).alias("before")))
+        return F.filter(marked, lambda s: s["start"] >= s["before"])
+
+    def rewritten(firsts: Column, last: Column) -> Column:
+        parts = F.transform(firsts, lambda s: F.concat(cut_out(F.col("_cut"), s["before"], s["start"]), F.get(names, s["kind"])))
+        return F.concat(F.array_join(parts, ""), cut_out(F.col("_cut"), last, F.length("_text")))
 
-    text = F.aggregate(by_start, empty, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col("_text"), acc["at"] + 1, F.length("_text"))))
+    by_start = F.array_sort(F.transform("_spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    text = let(by_start, lambda spans: let(running_max(F.transform(spans, lambda s: s["end"])), lambda reach: rewritten(merged(spans, reach), F.element_at(reach, -1))))
     changed = F.size("_spans") > 0
+    out = out.withColumn("_cut", F.when(changed, text_blocks(F.col("_text"))))
     return restored(out.withColumn("_new", F.when(changed, text)), docs, F.col("_new"), changed)

@@ -651,6 +651,29 @@ def test_redaction(spark):
     assert pii.redact(df).columns == df.columns and pii.redact(df).schema == df.schema
 
 
+def test_dense_texts(spark):
+    """100,000 matches in one text, some of them spelt out and some in two kinds; redaction by the reported spans."""
+    rng = random.Random(22)
+    forms = [lambda i: f"user{i}@mail{i % 97}.example.com", lambda i: f"user{i} at mail dot com", lambda i: f"call ({i % 900 + 100:03d}) 555-{i % 10000:04d}", lambda i: f"+1 {i % 900 + 100} 555 {i % 10000:04d}", lambda i: f"漢 10.0.{i % 256}.{i % 300}"]
+    small = ", ".join(rng.choice(forms)(i) for i in range(3000)) + " 12@34.56.78.90 +1 555 123 4567@x.yz"
+    large = " ".join(forms[0](i) for i in range(100_000))
+    df = documents(spark, [(1, small, None, None), (2, large, None, None)])
+    got = {r.doc_id: r for r in pii.find(df).collect()}
+    for i, text in ((1, small), (2, large)):
+        base = base_spans(text)
+        assert got[i].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in base).encode()).hexdigest()
+    spans = sorted((int(a), int(b), [*pii.KINDS, "account"].index(k)) for k, a, b in (x.split(":") for x in got[1].spans.split(",")))
+    added = set(got[1].spans.split(",")) - {f"{k}:{a}:{b}" for k, a, b in base_spans(small)}
+    assert len(added) > 800
+    out, at = [], 0
+    for a, b, kind in spans:
+        if a >= at:
+            out += [small[at:a], f"[{[*pii.KINDS, 'account'][kind].upper()}]"]
+        at = max(at, b)
+    redacted = {r.doc_id: r.text for r in pii.redact(df).collect()}
+    assert redacted[1] == "".join(out) + small[at:] and redacted[2] == " ".join(["[EMAIL]"] * 100_000)
+
+
 # --- 7 sharding
 
 
