@@ -218,16 +218,17 @@ def dedup_substrings(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> D
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], schema=schema)
 
     dealt = materialise(keyed.select("k1", "k2", "text").mapInArrow(deal, "k1 long, k2 long, h long, g long, lo int, hi int, at int"), "suffix-dealt")
-    repeated = dealt.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h")
+    # counts by anchor are tables of their own: a join reads both sides from a shuffle then, and can split a hot anchor
+    repeated = materialise(dealt.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "suffix-anchors")
     shared = materialise(dealt.join(repeated, "h", "left_semi"), "suffix-shared")
-    drop(dealt)
+    drop(dealt, repeated)
     # one row per different run: how often it occurs, and which row of docs stands for it
     different = shared.groupBy("h", "g").agg(F.count("*").alias("n"), F.min("k1").alias("stands"))
-    kinds = shared.groupBy("h", "g").agg(F.lit(1).alias("one")).groupBy("h").agg(F.count("*").alias("kinds"))
+    kinds = materialise(shared.select("h", "g").distinct().groupBy("h").agg(F.count("*").alias("kinds")), "suffix-kinds")
     verdicts = different.join(kinds, "h").select("h", "g", (F.col("n") > 1).alias("settled"), F.when(F.col("kinds") == 1, 0).when(F.col("kinds") <= hot, 1).otherwise(2).alias("how"), "stands")
     wanted = shared.join(verdicts, ["h", "g"]).select("k1", "k2", F.struct("lo", "hi", "at", "h", "settled", F.when(F.col("k1") == F.col("stands"), F.col("how")).otherwise(0).alias("how")).alias("r"))
     wanted = materialise(wanted.where("r.settled OR r.how > 0").groupBy("k1", "k2").agg(F.collect_list("r").alias("r")), "suffix-runs")
-    drop(shared)
+    drop(shared, kinds)
 
     # texts travel as zstd frames, a third of their size; both joins below bring them together with verdicts
 
