@@ -1,7 +1,12 @@
 """Media columns: Netpbm and BMP images in binary columns, area-resized through integral images, cut to NPY tiles.
 
-Nulls count as empty content. Truncated or foreign bytes raise ValueError in the decoders; `decode_column` turns that
-into a null image instead, so that one bad file does not end a job.
+An image is decoded to a numpy array of 8-bit samples. A reduction to a few cells takes each cell's mean, fractions of
+pixels included, from the integral image; that is summed block of rows by block of rows, and only the rows that cell
+edges touch are kept, so that a long image needs little memory. Tiles are strips of the image, reduced to a square and
+stored as NPY files, each with a difference hash.
+
+Nulls count as empty content. Truncated or foreign bytes raise ValueError in the decoders, whatever they hold; `tiles`
+leaves such media out, so that one bad file does not end a job.
 """
 
 from __future__ import annotations
@@ -22,6 +27,7 @@ from quarrymill.llm.common import arrow_blobs, to_batch
 
 UNIT = 576  # payload bytes come in multiples of this: rows of 24 samples, 24 rows
 WIDTH = 24
+STEP = 240  # rows of a tile
 
 
 def encode_netpbm(image: np.ndarray) -> bytes:
@@ -38,21 +44,27 @@ def decode_netpbm(blob: bytes) -> np.ndarray:
         raise ValueError("not Netpbm")
     kind, at, numbers = int(head[1]), head.end(), []
     need = 2 if kind in (1, 4) else 3
-    token = re.compile(rb"(?:\s|#[^\n]*\n)*(\d+)")
+    token = re.compile(rb"(?:\s|#[^\n]*\n)*(\d{1,9})(?!\d)")
     while len(numbers) < need:
         found = token.match(blob, at)
         if not found:
-            raise ValueError("short Netpbm header")
+            raise ValueError("bad Netpbm header")
         numbers.append(int(found[1]))
         at = found.end()
     width, height, top = numbers[0], numbers[1], numbers[2] if need == 3 else 1
     channels = 3 if kind in (3, 6) else 1
     count = width * height * channels
+    stored = {1: count, 2: count, 3: count, 4: (width + 7) // 8 * height}.get(kind, count * (1 if top < 256 else 2))
+    if not 0 < top < 65536 or not count or stored > len(blob) - at:
+        raise ValueError("bad Netpbm sizes")
     if kind == 1:
         plain = re.sub(rb"#[^\n]*\n?|\s", b"", blob[at:])[:count]
         data = np.frombuffer(plain, np.uint8).astype(np.int64) - 48
     elif kind in (2, 3):
-        data = np.array(re.sub(rb"#[^\n]*\n?", b" ", blob[at:]).split()[:count], np.int64)
+        words = re.sub(rb"#[^\n]*\n?", b" ", blob[at:]).split()[:count]
+        if not all(len(w) < 10 and w.isdigit() for w in words):
+            raise ValueError("bad Netpbm sample")
+        data = np.array(words, np.int64)
     elif kind == 4:
         row = (width + 7) // 8
         packed = np.frombuffer(blob, np.uint8, row * height, at + 1).reshape(height, row)
@@ -63,10 +75,14 @@ def decode_netpbm(blob: bytes) -> np.ndarray:
         data = np.frombuffer(blob, ">u2", count, at + 1).astype(np.int64)
     if len(data) < count:
         raise ValueError("short Netpbm data")
+    if top != 255 and (data.min() < 0 or data.max() > top) or data.max() > 65535:
+        raise ValueError("Netpbm sample beyond the maximum")
     if kind in (1, 4):
         data = (1 - data) * 255
     elif top != 255:
         data = data.astype(np.int64) * 255 // top
+    elif data.max() > 255:
+        raise ValueError("Netpbm sample beyond the maximum")
     return data.astype(np.uint8).reshape((height, width, 3) if channels == 3 else (height, width))
 
 
@@ -92,11 +108,15 @@ def decode_bmp(blob: bytes) -> np.ndarray:
     if packing not in (0, 3) or depth not in (8, 24, 32):
         raise ValueError("unsupported BMP")
     rows, stride = abs(height), (width * depth + 31) // 32 * 4
+    if width <= 0 or not rows or stride * rows > len(blob) - offset:
+        raise ValueError("bad BMP sizes")
     body = np.frombuffer(blob, np.uint8, stride * rows, offset).reshape(rows, stride)
     body = body if height < 0 else body[::-1]
     if depth > 8:
         return np.ascontiguousarray(body[:, : width * depth // 8].reshape(rows, width, depth // 8)[:, :, 2::-1])
     colours = struct.unpack_from("<I", blob, 46)[0] or 256
+    if colours > 256 or 14 + head + 4 * colours > len(blob):
+        raise ValueError("bad BMP palette")
     palette = np.frombuffer(blob, np.uint8, 4 * colours, 14 + head).reshape(-1, 4)[:, 2::-1]
     full = np.zeros((256, 3), np.uint8)
     full[: len(palette)] = palette
@@ -110,50 +130,74 @@ def decode(blob: bytes) -> np.ndarray:
     return decode_bmp(blob) if blob[:2] == b"BM" else decode_netpbm(blob)
 
 
-def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
-    """The mean over each target cell, fractions of pixels included, from the integral image; float64."""
-    grey = image.astype(np.float64) if image.ndim == 2 else image.astype(np.float64).mean(axis=2)
-    rows, columns = grey.shape
+def area_resizes(image: np.ndarray, sizes: list[tuple[int, int]], block: int = 1 << 14) -> list[np.ndarray]:
+    """For each (height, width) the mean over each target cell, fractions of pixels included, from one pass of the
+    integral image by blocks of rows; float64."""
+    rows, columns = image.shape[:2]
     if not rows or not columns:
-        return np.zeros((height, width))
-    integral = np.zeros((rows + 1, columns + 1))
-    np.cumsum(grey, axis=0, out=integral[1:, 1:])
-    y = np.linspace(0, rows, height + 1)
-    low = np.minimum(y.astype(np.int64), rows - 1)
-    part = integral[low] + (integral[low + 1] - integral[low]) * (y - low)[:, None]
-    np.cumsum(part, axis=1, out=part)
-    x = np.linspace(0, columns, width + 1)
-    left = np.minimum(x.astype(np.int64), columns - 1)
-    corner = part[:, left] + (part[:, left + 1] - part[:, left]) * (x - left)
-    return np.diff(np.diff(corner, axis=0), axis=1) * (height * width / (rows * columns))
-
-
-def difference_hash(image: np.ndarray) -> int:
-    """64 bits: is each cell of a 9 x 8 reduction brighter than its right neighbour?"""
-    small = np.round(area_resize(image, 8, 9), 6)
+        return [np.zeros(size) for size in sizes]
+    edges = [np.linspace(0, rows, height + 1) for height, _ in sizes]
+    lows = [np.minimum(y.astype(np.int64), rows - 1) for y in edges]
+    wanted = np.unique(np.concatenate([*lows, *(low + 1 for low in lows)]))  # rows of the integral image that are looked at
+    integral, carry = np.zeros((len(wanted), columns)), np.zeros(columns)
+    for at in range(0, rows, block):
+        part = image[at : at + block]
+        summed = np.cumsum(part if part.ndim == 2 else part.mean(axis=2), axis=0, dtype=np.float64) + carry
+        here = (wanted > at) & (wanted <= at + len(part))
+        integral[here] = summed[wanted[here] - at - 1]
+        carry = summed[-1]
+    out = []
+    for (height, width), y, low in zip(sizes, edges, lows, strict=True):
+        above, below = integral[np.searchsorted(wanted, low)], integral[np.searchsorted(wanted, low + 1)]
+        part = np.cumsum(above + (below - above) * (y - low)[:, None], axis=1)
+        part = np.hstack([np.zeros((height + 1, 1)), part])
+        x = np.linspace(0, columns, width + 1)
+        left = np.minimum(x.astype(np.int64), columns - 1)
+        corner = part[:, left] + (part[:, left + 1] - part[:, left]) * (x - left)
+        out.append(np.diff(np.diff(corner, axis=0), axis=1) * (height * width / (rows * columns)))
+    return out
+
+
+def area_resize(image: np.ndarray, height: int, width: int) -> np.ndarray:
+    return area_resizes(image, [(height, width)])[0]
+
+
+def hash_of(small: np.ndarray) -> int:
+    """64 bits of a 9 x 8 reduction: is each cell brighter than its right neighbour?"""
+    small = np.round(small, 6)
     return int.from_bytes(np.packbits(small[:, :-1] > small[:, 1:]).tobytes(), "big")
 
 
-def npy_tile(image: np.ndarray, side: int = 16) -> bytes:
-    """The image reduced to side x side samples, as the bytes of an NPY file."""
+def npy_of(small: np.ndarray) -> bytes:
+    """A reduction as the bytes of an NPY file of 8-bit samples."""
     out = io.BytesIO()
-    np.save(out, np.clip(np.floor(np.round(area_resize(image, side, side), 6) + 0.5), 0, 255).astype(np.uint8))
+    np.save(out, np.clip(np.floor(np.round(small, 6) + 0.5), 0, 255).astype(np.uint8))
     return out.getvalue()
 
 
+def tile_of(image: np.ndarray, side: int = 16) -> tuple[bytes, int]:
+    """The NPY tile of an image, side x side samples, and its difference hash."""
+    small, square = area_resizes(image, [(8, 9), (side, side)])
+    return npy_of(square), hash_of(small)
+
+
 def text_image(raw: bytes) -> np.ndarray:
     """Bytes as 8-bit samples, 24 to a row, filled up with 255 to a positive multiple of 576."""
     size = max(1, -(-len(raw) // UNIT)) * UNIT
     return np.frombuffer(raw.ljust(size, b"\xff"), np.uint8).reshape(-1, WIDTH)
 
 
-def media_features(docs: DataFrame, kind: str = "netpbm") -> DataFrame:
-    """Each text stored as an image (netpbm or bmp), decoded from the stored bytes, with checksums and features.
+def media_features(docs: DataFrame, kind: str = "netpbm", side: int = 16, step: int = STEP) -> DataFrame:
+    """Each text stored as an image (netpbm or bmp), decoded from the stored bytes, with checksums and features: doc_id,
+    n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature (difference hash and checksum
+    of the NPY tile of the whole image), and of its tiles, one for each `step` rows: n_tiles, tiles_sha256 (over the NPY
+    files one after the other) and tile_hashes (their difference hashes, comma-joined).
 
     Null text counts as empty: one unit of filling. A null doc_id stays null; other columns of docs are left aside, so
-    none can clash. Rows that repeat give equal results. One pass over the rows, no shuffle; a task holds one document.
+    none can clash. Rows that repeat give equal results; an empty table gives an empty result. Texts of any length are
+    stored whole. One pass over the rows, no shuffle; a task holds one document.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string()), ("n_tiles", pa.int64()), ("tiles_sha256", pa.string()), ("tile_hashes", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encode_bmp if kind == "bmp" else encode_netpbm
@@ -163,18 +207,26 @@ def media_features(docs: DataFrame, kind: str = "netpbm") -> DataFrame:
                 media = encode(text_image(raw))
                 image = decode(media)
                 payload = image.tobytes()
-                feature = f"{difference_hash(image):016x}{hashlib.sha256(npy_tile(image)).hexdigest()[:16]}"
-                rows.append((doc_id, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature))
+                npy, dhash = tile_of(image, side)
+                cut = [(npy, dhash)] if len(image) <= step else [tile_of(strip, side) for strip in strips(image, step)]
+                feature = f"{dhash:016x}{hashlib.sha256(npy).hexdigest()[:16]}"
+                rows.append((doc_id, len(raw), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(cut), hashlib.sha256(b"".join(t for t, _ in cut)).hexdigest(), ",".join(f"{h:016x}" for _, h in cut)))
             if rows:
                 yield to_batch(rows, schema)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_tiles long, tiles_sha256 string, tile_hashes string")
+
+
+def strips(image: np.ndarray, step: int = STEP) -> Iterator[np.ndarray]:
+    for top in range(0, len(image), step):
+        yield image[top : top + step]
 
 
-def tiles(media: DataFrame, key: str, column: str, side: int = 16, step: int = 240) -> DataFrame:
-    """NPY tiles of images: one row per strip of `step` rows, with tile number, NPY bytes and difference hash.
+def tiles(media: DataFrame, key: str, column: str, side: int = 16, step: int = STEP) -> DataFrame:
+    """NPY tiles of images: key, tile (number), npy (bytes) and dhash for each strip of `step` rows.
 
-    Undecodable or null media give no tile. The caller writes the rows wherever it likes (e.g. as Parquet).
+    Undecodable, empty or null media give no tile; a null key stays null, and rows that repeat give equal tiles. The caller
+    writes the rows wherever it likes (e.g. as Parquet), and `np.load` reads each of them.
     """
     schema = pa.schema([("key", pa.string()), ("tile", pa.int64()), ("npy", pa.binary()), ("dhash", pa.string())])
 
@@ -184,11 +236,14 @@ def tiles(media: DataFrame, key: str, column: str, side: int = 16, step: int = 2
             for name, blob in zip(batch.column(0).to_pylist(), arrow_blobs(batch.column(1)), strict=True):
                 try:
                     image = decode(blob)
-                except (ValueError, struct.error):
+                except ValueError:
                     continue
-                for number, top in enumerate(range(0, len(image), step)):
-                    strip = image[top : top + step]
-                    rows.append((name, number, npy_tile(strip, side), f"{difference_hash(strip):016x}"))
+                for number, strip in enumerate(strips(image, step)):
+                    npy, dhash = tile_of(strip, side)
+                    rows.append((name, number, npy, f"{dhash:016x}"))
+                if len(rows) > 5000:
+                    yield to_batch(rows, schema)
+                    rows = []
             if rows:
                 yield to_batch(rows, schema)
 
@@ -196,7 +251,7 @@ def tiles(media: DataFrame, key: str, column: str, side: int = 16, step: int = 2
 
 
 def media_column(docs: DataFrame, kind: str = "netpbm") -> DataFrame:
-    """doc_id and the stored form of each text, for writers and for `tiles`."""
+    """doc_id and media, the stored form of each text as netpbm or bmp, for writers and for `tiles`."""
     schema = pa.schema([("doc_id", pa.int64()), ("media", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -84,7 +84,41 @@ def test_area_resize_is_the_exact_mean():
     big = np.kron(image, np.ones((8 * 3, 9 * 2)))  # every source pixel in whole parts of each cell
     want = big.reshape(8, big.shape[0] // 8, 9, big.shape[1] // 9).mean(axis=(1, 3))
     assert np.allclose(media.area_resize(image, 8, 9), want)
-    assert np.load(io.BytesIO(media.npy_tile(image.astype(np.uint8)))).shape == (16, 16)
+    assert np.load(io.BytesIO(media.tile_of(image.astype(np.uint8))[0])).shape == (16, 16)
+    tall = rng.integers(0, 256, (500, 24)).astype(np.uint8)
+    for block in (1, 7, 64, 1000):  # blocks of rows make no difference
+        assert all(np.allclose(a, b) for a, b in zip(media.area_resizes(tall, [(8, 9), (16, 16)], block), media.area_resizes(tall, [(8, 9), (16, 16)]), strict=True))
+    for shape in ((1, 1), (3, 50), (50, 3)):
+        assert np.allclose(media.area_resize(np.full(shape, 77, np.uint8), 16, 16), 77)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.one_of(st.binary(max_size=80), st.tuples(st.sampled_from([b"P1 ", b"P2 ", b"P3\n", b"P4 ", b"P5 ", b"P6 ", b"BM"]), st.text("0123456789 #\n", max_size=40)).map(lambda x: x[0] + x[1].encode()), st.binary(max_size=60).map(lambda x: b"BM" + x), st.binary(max_size=40).map(lambda x: media.encode_bmp(np.zeros((3, 3), np.uint8))[:40] + x)))
+def test_decoders_raise_nothing_but_value_errors(blob):
+    try:
+        assert media.decode(blob).dtype == np.uint8
+    except ValueError:
+        pass
+
+
+def test_tiles_survive_any_bytes(spark):
+    bad = [b"P5 99999999999999999999 1 255\n", b"P2\n1 1\n255\n" + b"9" * 20, b"P5 2 2 0\n1234", b"P1 1 1\n9", b"P2 1 1 10\n11", b"P5 0 0 255\n", b"BM" + b"\xff" * 60, b"", None]
+    good = [media.encode_netpbm(np.arange(600, dtype=np.uint8).reshape(300, 2)), media.encode_bmp(np.arange(600, dtype=np.uint8).reshape(300, 2))]
+    rows = [(str(i), b) for i, b in enumerate(bad + good)]
+    got = media.tiles(spark.createDataFrame(rows, "k string, m binary"), "k", "m").collect()
+    assert sorted((r.key, r.tile) for r in got) == [("10", 0), ("10", 1), ("9", 0), ("9", 1)]
+    assert {r.npy for r in got if r.key == "9"} == {r.npy for r in got if r.key == "10"}
+
+
+def test_query_tiles_are_those_of_the_bmp_column(docs):
+    """The registered features against tiles of a stored BMP column."""
+    stored = media.tiles(media.media_column(docs.where("doc_id < 30"), "bmp"), "doc_id", "media").collect()
+    hashes = collections.defaultdict(list)
+    for r in sorted(stored, key=lambda r: r.tile):
+        hashes[r.key].append((r.tile, r.dhash, bytes(r.npy)))
+    for r in media.media_features(docs.where("doc_id < 30 AND doc_id NOT IN (8, 11)")).collect():
+        own = hashes[str(r.doc_id)]
+        assert r.n_tiles == len(own) and r.tile_hashes == ",".join(h for _, h, _ in own) and r.tiles_sha256 == hashlib.sha256(b"".join(n for *_, n in own)).hexdigest()
 
 
 def test_tiles(spark, docs):
