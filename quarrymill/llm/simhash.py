@@ -3,8 +3,9 @@
 A fingerprint's 64 bits are cut into segments; the bit counts of the segments are its embedding. The Manhattan distance
 of two embeddings never exceeds the Hamming distance of the fingerprints. The segments are dealt to `groups` groups;
 with at most `radius` differing bits, at least `groups - radius` groups agree in every count, that is, lie in one cell
-of the grid of side 1, so joining on every choice of `agree` <= groups - radius groups finds every link. The bound on
-the whole embedding and the exact Hamming distance follow.
+of the grid of side 1, so joining on every choice of groups - radius groups finds every link. There are the more groups, and
+so the finer cells, the more fingerprints there are (`grid`). The bound on the whole embedding and the exact Hamming
+distance follow.
 
 Copies never multiply: the join runs on distinct fingerprints only. A crowded cell is not paired out either: it is cut
 to blocks, each pair of blocks is a group of bounded size in one task, and a task returns only a minimum spanning
@@ -20,6 +21,7 @@ compared. A pair that fails never counts as linked, and every verdict is exact,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -33,7 +35,7 @@ from quarrymill.llm.common import arrow_blobs, carried, drop, drop_since, mark,
 from quarrymill.llm.components import components
 
 BLOCK = 2048  # fingerprints of one cell that meet in one task
-SMALL = 32  # cells up to this size are compared all at once
+SMALL = 32  # cells up to this size are compared all at once; larger ones by growing trees, with the same components
 SAMPLE = 16  # one text of so many is looked at for common shingles
 COMMON = 8  # texts of the sample that make a shingle common
 BUCKETS = 256  # counts in a text's sketch
@@ -97,6 +99,16 @@ def cells(fps: np.ndarray, groups: int, agree: int, segment: int = 2) -> np.ndar
     return out.view(np.int64)
 
 
+def grid(count: int, radius: int, segment: int = 2) -> int:
+    """How many groups to deal the segments to for so many fingerprints: the number that makes the least work of copies
+    into cells and comparisons in them. A cell of random fingerprints holds count * chance of them, where chance is that
+    of equal counts in all segments of a choice; so cells get finer as the table grows. Every number finds all links."""
+    halves = 64 // segment
+    each = sum(math.comb(segment, i) ** 2 for i in range(segment + 1)) / 4**segment  # equal counts in one segment
+    work = lambda groups: math.comb(groups, radius) * (1 + count * each ** (halves * (groups - radius) // groups))
+    return min(range(radius + 2, min(halves, radius + 14) + 1), key=work)
+
+
 def near(left: np.ndarray, right: np.ndarray, radius: int, segment: int) -> np.ndarray:
     """Which pairs link: the embeddings' distance is a lower bound and goes first, the exact distance decides."""
     bound = np.abs(embedding(left, segment).astype(np.int8) - embedding(right, segment).astype(np.int8)).sum(axis=1, dtype=np.int16) <= radius
@@ -121,14 +133,15 @@ def forest(fps: np.ndarray, radius: int) -> np.ndarray:
     return np.array(edges, np.int64).reshape(-1, 2)
 
 
-def links(distinct: DataFrame, radius: int = 2, groups: int = 4, agree: int = 2, segment: int = 2, block: int = BLOCK) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that keep the components at every radius up to `radius`, as far as
-    linked fingerprints share a cell (all with at most groups - agree differing bits do).
+def links(distinct: DataFrame, radius: int = 2, groups: int | None = None, segment: int = 2, block: int = BLOCK) -> DataFrame:
+    """Edges (a, b) between distinct fingerprints that keep the components at every radius up to `radius`.
 
-    distinct: one row per fingerprint, column fp. Cells with up to `block` fingerprints are one group; fuller ones are
+    distinct: one row per fingerprint, column fp. groups: `grid` of their number, if it is not given. Cells with up to `block` fingerprints are one group; fuller ones are
     cut by a hash of the fingerprint and every pair of parts is a group, so that no group holds over about two blocks.
     """
-    choices = len(list(combinations(range(groups), agree)))
+    groups = groups or grid(distinct.count(), radius, segment)
+    agree = groups - radius
+    choices = math.comb(groups, agree)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -375,7 +388,7 @@ def with_component(marked: DataFrame, edges: DataFrame) -> DataFrame:
     return distinct.join(labels, distinct["fp"] == labels["node"], "left").select("fp", F.coalesce("component", "fp").alias("component"))
 
 
-def near_groups(docs: DataFrame, width: int = 3, radius: int = 2, groups: int = 4, block: int = BLOCK) -> DataFrame:
+def near_groups(docs: DataFrame, width: int = 3, radius: int = 2, groups: int | None = None, block: int = BLOCK) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id (smallest doc_id reachable) of every row of docs.
 
     Null and blank texts share the fingerprint 0 and are linked like any other. Rows that repeat a doc_id each get a
@@ -384,7 +397,7 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 2, groups: int =
     """
     start = mark()
     marked = materialise(fingerprints(docs, width), "simhash")
-    edges = materialise(links(marked.select("fp").distinct(), radius, groups, groups - radius, 2, block), "simhash-links")
+    edges = materialise(links(marked.select("fp").distinct(), radius, groups, 2, block), "simhash-links")
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
     merged = with_component(marked, edges).join(least, "fp")
     smallest = merged.groupBy("component").agg(F.min("least").alias("component_id"))

@@ -377,6 +377,13 @@ def test_near_groups(docs, rows, block):
     assert collections.Counter(tuple(r) for r in simhash.near_groups(docs, block=block).collect()) == want
 
 
+def test_grid_grows_with_the_table(docs):
+    chosen = [simhash.grid(n, 2) for n in (1, 10**5, 10**8, 10**11)]
+    assert chosen == sorted(chosen) and chosen[0] == 4 and chosen[-1] > 7
+    want = sorted(map(tuple, simhash.near_groups(docs).collect()), key=repr)
+    assert all(sorted(map(tuple, simhash.near_groups(docs, groups=g).collect()), key=repr) == want for g in (6, 10))
+
+
 def test_simhash_hash_is_sparks(spark):
     assert spark.sql("SELECT xxhash64('one two three')").first()[0] == int(np.array([xxhash.xxh64_intdigest(b"one two three", 42)], np.uint64).view(np.int64)[0])
 
@@ -394,8 +401,8 @@ def test_links_keep_all_components(seeds, rng, radius):
         parent = [new if p == old else p for p in parent]
     want = slow_components(values, radius)
     assert len(set(parent)) == len(set(want)) and len(set(zip(parent, want, strict=True))) == len(set(want))
-    if radius == 2:  # every link shares a cell
-        cells = simhash.cells(fps, 4, 2)
+    for groups in (4, 5, 7, 12) if radius == 2 else ():  # every link shares a cell, however fine
+        cells = simhash.cells(fps, groups, groups - 2)
         for i in range(len(values)):
             for j in range(i):
                 if (values[i] ^ values[j]).bit_count() <= 2:
