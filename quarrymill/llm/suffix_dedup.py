@@ -33,7 +33,7 @@ from quarrymill.llm.common import arrow_blobs, drop, materialise, row_key, to_ba
 
 LENGTH = 200
 GRAM = 32
-HOT = 16_384  # different runs of an anchor that still meet in one task
+HOT = 4096  # different runs of an anchor that still meet in one task; their transform takes about 100 MB
 BATCH = 384  # strings in one transform; whole anchors only, so it may be exceeded by one anchor's runs
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
