@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarrymill.functions import tags, text, vocab
 from quarrymill.operators import filters, rewrite, sampling
+from quarrymill.sources.store import materialise
 
 VERSION = "prompt_pipeline_v1"
 
@@ -39,10 +40,11 @@ def candidates(raw: DataFrame, prompt: str, key: str, unsafe: Column, rules: fil
 
 
 def clean_pool(found: DataFrame, key: str, options: PipelineOptions) -> DataFrame:
-    """Records of the clean stage, split by the pool sizes, kept in the cache as all later stages read them; raises if
-    there are too few of a kind."""
+    """Records of the clean stage, split by the pool sizes, a table in the shared folder as all later stages read them;
+    raises if there are too few of a kind."""
     train, val = options.pool("train"), options.pool("val")
-    chosen = sampling.split_train_val(found, train, val, options.motion_ratio, options.seed, key).persist()
+    chosen = sampling.split_train_val(found, train, val, options.motion_ratio, options.seed, key)
+    chosen = materialise(chosen, "clean-pool")
     if not options.allow_short and (why := sampling.shortage(chosen, train, val, options.motion_ratio)):
         raise ValueError(why)
     seed = F.pmod(F.conv(F.substring(text.hash_order(options.seed + 2, key), 1, 12), 16, 10).cast("long"), F.lit(2**31 - 1))
