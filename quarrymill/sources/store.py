@@ -35,17 +35,21 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 #: Spark removes an execution's shuffle files at its end if this is set; what was written needs them no more.
 CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows of whole texts go to Python in batches of this many at most, so that long ones fit on both sides.
+BATCH, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 2000
 
 
 def save(df: DataFrame, path: str) -> None:
     """df as a Parquet table; the shuffle files of its plan go at once, not when the driver's garbage is collected."""
     conf = df.sparkSession.conf
-    before = conf.get(CLEAN, "false")
+    before = {CLEAN: conf.get(CLEAN, "false"), BATCH: conf.get(BATCH)}
     conf.set(CLEAN, "true")
+    conf.set(BATCH, str(min(BATCH_ROWS, int(before[BATCH]) if int(before[BATCH]) > 0 else BATCH_ROWS)))
     try:
         df.write.parquet(path)
     finally:
-        conf.set(CLEAN, before)
+        for key, value in before.items():
+            conf.set(key, value)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
