@@ -23,7 +23,7 @@ tells apart are cut to parts by hash, which are all searched.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from statistics import NormalDist
 
@@ -41,6 +41,9 @@ TARGET = 0.9  # for the k-th neighbour; nearer ones are found more surely
 ROUTE = 0.995
 BLOCK = 16_384  # classes of a leaf
 QUERIES = 65_536  # queries that meet a leaf in one task
+BATCH = 256  # queries that ascend side by side
+CELLS = 1 << 22  # queries of a batch x classes of a leaf, at most
+STEP = 1 << 20  # entries of sorted arrays that are read at once
 SAMPLE = 2_048  # classes that the angle of a k-th neighbour is estimated from
 
 
@@ -75,70 +78,131 @@ class Forest:
         self.trees, self.bits, self.count = trees, bits, len(vectors)
         self.planes = planes(vectors.shape[1], trees * bits, seed)
         strings = self.strings(vectors)
-        self.order = np.argsort(strings, axis=0, kind="stable")
-        self.sorted = np.take_along_axis(strings, self.order, axis=0)
+        order = np.argsort(strings, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(strings, order, axis=1)
+        self.order = order.astype(np.int32).ravel()
+        self.short = min(bits, self.count.bit_length() + 2)
+        self.starts = np.zeros((trees, (1 << self.short) + 1), np.int32)  # where each prefix of that many bits starts
+        for t in range(trees):
+            np.cumsum(np.bincount(self.sorted[t] >> (bits - self.short), minlength=1 << self.short), out=self.starts[t, 1:])
 
     def strings(self, vectors: np.ndarray) -> np.ndarray:
-        """vectors x trees hash strings, first bit highest."""
-        out = np.zeros((len(vectors), self.trees), np.int64)
+        """trees x vectors hash strings, first bit highest."""
+        out = np.zeros((self.trees, len(vectors)), np.int32)
         for at in range(0, len(vectors), 4096):
             signs = (vectors[at : at + 4096] @ self.planes > 0).reshape(-1, self.bits, self.trees)  # trees of a group differ most
+            own = np.zeros((len(signs), self.trees), np.int32)
             for bit in range(self.bits):
-                out[at : at + 4096] |= signs[:, bit].astype(np.int64) << (self.bits - 1 - bit)
+                own |= signs[:, bit].astype(np.int32) << (self.bits - 1 - bit)
+            out[:, at : at + 4096] = own.T
         return out
 
-    def ranges(self, strings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each query, depth (0 to bits) and tree the range of the sorted array that shares the prefix."""
-        low = np.zeros((len(strings), self.bits + 1, self.trees), np.int32)
-        high = np.full_like(low, self.count)
-        for depth in range(1, self.bits + 1):
-            shift = self.bits - depth
-            first = strings >> shift << shift
-            for t in range(self.trees):
-                low[:, depth, t] = np.searchsorted(self.sorted[:, t], first[:, t], side="left")
-                high[:, depth, t] = np.searchsorted(self.sorted[:, t], first[:, t] + (1 << shift) - 1, side="right")
+    def ranges(self, strings: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+        """queries x trees: the range of the sorted array that shares a prefix of `depth` bits."""
+        shift = self.bits - depth
+        if depth <= self.short:
+            prefixes, rest = (strings.T >> shift).astype(np.int64), self.short - depth
+            places = (prefixes << rest) + np.arange(self.trees) * self.starts.shape[1]
+            flat = self.starts.ravel()
+            return flat[places].astype(np.int64), flat[places + (1 << rest)].astype(np.int64)
+        low = np.empty(strings.T.shape, np.int64)
+        high = np.empty_like(low)
+        first = strings >> shift << shift
+        for t in range(self.trees):
+            low[:, t] = self.sorted[t].searchsorted(first[t], side="left")
+            high[:, t] = self.sorted[t].searchsorted(first[t] + ((1 << shift) - 1), side="right")
         return low, high
 
-    def ascend(self, low: np.ndarray, high: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """Depth and the rows that it adds, from the longest prefix that any tree shares up to the root."""
-        seen = np.zeros(self.count, bool)
-        many = (high - low).sum(axis=1)
-        before = np.zeros(self.count, bool)
-        for depth in range(int(np.flatnonzero(many)[-1]), -1, -1):
-            if depth == 0:
-                seen[:] = True
-            else:
-                for t in np.flatnonzero(high[depth] > low[depth]):
-                    seen[self.order[low[depth, t] : high[depth, t], t]] = True
-            fresh = np.flatnonzero(seen & ~before)
-            before[fresh] = True
-            yield depth, fresh
+    def ascend(self, strings: np.ndarray, least: int, take: Callable[[int, int, np.ndarray], bool]) -> None:
+        """Ascents of a batch of queries side by side, from the longest prefix up to the root.
+
+        `take` gets a depth, a query and the rows that the depth adds to it, and tells whether that query is done. Depths
+        at which a query has less than `least` entries may be left out; what they add then comes with the next one."""
+        many, n = strings.shape[1], self.count
+        seen, stamp = np.zeros(many * n, bool), np.empty(many * n, np.int32)
+        low, high = self.ranges(strings, self.short)
+        crowded = (high - low).sum(axis=1) >= least  # these may end at longer prefixes
+        inner, outer = low.copy(), low  # the ranges that have been met: none so far
+        if crowded.any():
+            inner[crowded] = outer[crowded] = self.ranges(strings[:, crowded], self.bits)[0]
+        left = np.ones(many, bool)
+        for depth in range(self.bits, 0, -1):
+            at = np.flatnonzero(left & crowded if depth > self.short else left)
+            if not len(at):
+                continue
+            low, high = self.ranges(strings[:, at], depth)
+            # ranges are nested: what is new lies before and behind the range that has been met
+            starts = (np.stack([low, outer[at]], axis=1) + np.arange(self.trees) * n).reshape(len(at), -1)
+            sizes = np.stack([inner[at] - low, high - outer[at]], axis=1).reshape(len(at), -1)
+            inner[at], outer[at] = low, high
+            upto = np.cumsum(sizes.sum(axis=1))
+            begin = 0
+            while begin < len(at):
+                end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + STEP, side="right")))
+                own, size = at[begin:end], sizes[begin:end].ravel()
+                entries = np.repeat(starts[begin:end].ravel() - (np.cumsum(size) - size), size)
+                entries += np.arange(len(entries))
+                keys = np.repeat(own * n, sizes[begin:end].sum(axis=1)) + self.order[entries]
+                keys = keys[~seen[keys]]
+                places = np.arange(len(keys), dtype=np.int32)
+                stamp[keys] = places
+                keys = keys[stamp[keys] == places]  # once each
+                seen[keys] = True
+                for q, rows in zip(own.tolist(), np.split(keys % n, np.searchsorted(keys // n, own[1:])), strict=True):
+                    left[q] = not take(depth, q, rows)
+                begin = end
+        for q in np.flatnonzero(left).tolist():
+            take(0, q, np.flatnonzero(~seen[q * n : (q + 1) * n]))
+
+
+class Best:
+    """The rows met by one query that may be among its k + 1 best, with their scores."""
+
+    def __init__(self, base: np.ndarray, query: np.ndarray, k: int, slack: float):
+        self.base, self.query, self.k, self.slack = base, query, k, slack
+        self.rows, self.scores = np.zeros(0, np.int64), np.zeros(0)
+        self.met, self.kth = 0, -math.inf
+
+    def add(self, rows: np.ndarray) -> None:
+        scores = self.base.take(rows, axis=0) @ self.query
+        near = np.flatnonzero(~(scores < self.kth - self.slack))
+        self.met += len(rows)
+        self.rows, self.scores = np.concatenate([self.rows, rows[near]]), np.concatenate([self.scores, scores[near]])
+        if len(self.rows) > self.k:  # one of them may be the query itself
+            place = len(self.rows) - self.k - 1
+            self.kth = float(np.partition(self.scores, place)[place])
+            near = ~(self.scores < self.kth - self.slack)
+            self.rows, self.scores = self.rows[near], self.scores[near]
 
 
 def search_block(base: np.ndarray, ids: list[list[int]], queries: np.ndarray, query_ids: np.ndarray, k: int, top: float, hope: float = -1.0, target: float = TARGET) -> tuple[list[tuple], int]:
     """(query_id, vec_id, score) of up to k best candidates of each query in one block, and how many rows were scored.
 
     top: the square of the longest vector of the whole table; hope: a cosine that a k-th neighbour in the whole table
-    has at least, so that one block need not look for worse ones."""
+    has at least, so that one block need not look for worse ones. Queries ascend in batches, so that what is done for
+    each of them and each tree is array work; the rows that they meet and score are those of ascents one by one."""
     forest = Forest(augmented(base, top))
-    first, copies = np.array([own[0] for own in ids]), np.array([len(own) for own in ids])
+    first = np.array([own[0] for own in ids])
     lengths = np.sqrt((queries**2).sum(axis=1)) * math.sqrt(top)
-    out, scored = [], 0
-    for at in range(0, len(queries), 256):
-        low, high = forest.ranges(forest.strings(probes_of(queries[at : at + 256])))
-        for q in range(len(low)):
-            query, own = queries[at + q], int(query_ids[at + q])
-            rows, scores = np.zeros(0, np.int64), np.zeros(0)
-            for depth, fresh in forest.ascend(low[q], high[q]):
-                rows, scores = np.concatenate([rows, fresh]), np.concatenate([scores, (base[fresh] * query).sum(axis=1)])
-                if len(rows) > k:  # one of them may be the query itself
-                    kth = np.partition(scores, len(scores) - k - 1)[len(scores) - k - 1]
-                    if met(max(float(kth) / lengths[at + q], hope), depth, forest.trees) >= target:
-                        break
-            scored += len(rows)
-            order = np.lexsort((first[rows], -scores))
+    slack = 8 * base.shape[1] * np.finfo(float).eps * lengths  # more than rounding, in whatever order a product is summed
+    out, scored, step = [], 0, max(1, min(BATCH, CELLS // len(base)))
+    for at in range(0, len(queries), step):
+        batch, length = queries[at : at + step], lengths[at : at + step].tolist()
+        bests = [Best(base, query, k, s) for query, s in zip(batch, slack[at : at + step].tolist(), strict=True)]
+
+        def take(depth: int, q: int, rows: np.ndarray, bests: list[Best] = bests, length: list[float] = length) -> bool:
+            own = bests[q]
+            if len(rows):
+                own.add(rows)
+            return own.met > k and met(max(own.kth / length[q], hope), depth, forest.trees) >= target
+
+        forest.ascend(forest.strings(probes_of(batch)), k + 1, take)
+        for q, found in enumerate(bests):
+            own, rows = int(query_ids[at + q]), found.rows
+            scored += found.met
+            scores = (base[rows] * batch[q]).sum(axis=1)
             best: list[tuple] = []
-            for i in order:
+            for i in np.lexsort((first[rows], -scores)):
                 if len(best) > k and scores[i] < best[k][0]:
                     break
                 best += [(scores[i], v) for v in ids[rows[i]] if v != own]

@@ -5,6 +5,7 @@ import hashlib
 import io
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -301,6 +302,50 @@ def test_forest_scores_little_where_neighbours_are_near():
     assert scored < 0.4 * 6000 * len(queries)
 
 
+def test_forest_batches_meet_what_single_ascents_meet(monkeypatch):
+    """Each depth adds the rows that share a prefix of so many bits in any tree; copies are crowded at every depth."""
+    monkeypatch.setattr(prefix_forest, "STEP", 500)
+    rng = np.random.default_rng(21)
+    x = rng.standard_normal((500, 9))
+    x[100:300] = x[100] + 1e-9 * x[100:300]
+    x /= np.sqrt((x**2).sum(axis=1))[:, None]
+    top = float((x**2).sum(axis=1).max())
+    forest = prefix_forest.Forest(prefix_forest.augmented(x, top), 12)
+    base, asked = forest.strings(prefix_forest.augmented(x, top)), forest.strings(prefix_forest.probes_of(x[::7]))
+    shared = np.array([[forest.bits - int(d).bit_length() for d in np.bitwise_xor(base, q[:, None]).ravel()] for q in asked.T])
+    longest = shared.reshape(len(x[::7]), 12, len(x)).max(axis=1)
+    seen, depths = [set() for _ in longest], collections.defaultdict(list)
+
+    def take(depth, q, rows):
+        assert not seen[q] & set(rows.tolist()) and len(set(rows.tolist())) == len(rows)
+        seen[q] |= set(rows.tolist())
+        assert seen[q] == set(np.flatnonzero(longest[q] >= depth).tolist())
+        depths[q].append(depth)
+        return depth <= q % 9
+
+    forest.ascend(asked, 21, take)
+    for q, own in depths.items():
+        assert own == list(range(own[0], q % 9 - 1, -1)) and (own[0] == forest.bits or (longest[q] > own[0]).sum() < 21)
+    assert len(depths) == len(longest) and {own[0] for own in depths.values()} == {forest.bits, forest.short}
+
+
+def test_forest_costs_little_beside_scores_where_neighbours_are_far():
+    """Random unit vectors, of which two in five are scored: the ascents take little beside the scores themselves."""
+    rng = np.random.default_rng(22)
+    x = rng.standard_normal((12_800, 64))
+    x /= np.sqrt((x**2).sum(axis=1))[:, None]
+    queries, ids = np.arange(0, 12_800, 25), [[i] for i in range(12_800)]
+
+    def seconds(work):
+        began = time.thread_time()
+        work()
+        return time.thread_time() - began
+
+    plain = min(seconds(lambda: [(x * x[q]).sum(axis=1) for q in queries]) for _ in range(3))
+    forest = min(seconds(lambda: prefix_forest.search_block(x, ids, x[queries], queries, 20, 1.0, 0.36)) for _ in range(3))
+    assert forest < 2.5 * plain, f"scans {plain:.2f} s, forest {forest:.2f} s"
+
+
 def test_router_sends_queries_to_few_leaves():
     rng = np.random.default_rng(17)
     centres = rng.standard_normal((300, 24))
