@@ -8,8 +8,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+
+class _Written(list):
+    """Sessions and paths; empty where a function sent to executors carries this module along, as sessions can't go there."""
+
+    def __reduce__(self) -> tuple:
+        return list, ()
+
+
 #: Paths written by this process and not yet removed.
-_written: list[tuple[SparkSession, str]] = []
+_written: list[tuple[SparkSession, str]] = _Written()
 
 
 def shared_dir(spark: SparkSession) -> str:

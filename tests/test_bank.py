@@ -123,6 +123,16 @@ def test_render_gives_each_item_a_status(spark):
     assert sorted(r.prompt_id for r in again.collect()) == ["p1", "p3"]
 
 
+def test_renderer_may_use_the_package_when_tables_were_written(spark):
+    import quarrymill.llm.common  # noqa: F401  functions carry the package's code along from here on
+
+    written = store.materialise(spark.range(1), "written")
+    planned = render.plan(spark.createDataFrame([("p", 1, None)], "prompt_id string, seed_hint long, negative_prompt string"), spark.createDataFrame([], "prompt_id string"))
+    assert [r.status for r in render.render(planned, lambda items: render.dry_run(items)).collect()] == ["ok"]
+    assert any(path.rsplit("/", 1)[-1] in written.inputFiles()[0] for _, path in store._written)
+    store.drop(written)
+
+
 def test_csv_source(spark, tmp_path):
     (tmp_path / "raw.csv").write_text('uuid,prompt,toxicity,extra\n1,"two\nlines ""q""",0.5,x\n2,,nan,y\n3,short\n')
     got = {r.uuid: r for r in io.raw_prompts(spark, str(tmp_path / "raw.csv")).collect()}
