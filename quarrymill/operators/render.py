@@ -5,6 +5,8 @@ from __future__ import annotations
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,6 +17,8 @@ from quarrymill.functions.vocab import NEGATIVE_PROMPT
 from quarrymill.operators.sampling import batch, numbered, stride
 
 RESULT = "prompt_id string, status string, error string, content binary, batch_size int, batch_runtime_s double, runtime_s double"
+#: Results leave a task in frames of so many rows, or once they hold so many bytes of contents.
+FRAME_ROWS, FRAME_BYTES = 1000, 4 << 20
 
 
 @dataclass(frozen=True)
@@ -94,11 +98,23 @@ def render(planned: DataFrame, renderer: Callable[[list[dict]], list[bytes]] = d
         took = time.perf_counter() - began
         return [(item["prompt_id"], "ok", None, content, len(items), took, took / len(items)) for item, content in zip(items, contents, strict=True)]
 
+    def batches(frames: Iterator[pd.DataFrame]) -> Iterator[list[dict]]:
+        """The items of each batch; one that a frame cuts goes on in the next."""
+        items = (item for frame in frames for item in frame.to_dict("records"))
+        return (list(group) for _, group in groupby(items, key=itemgetter("rank", "batch")))
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [field.split()[0] for field in RESULT.split(", ")]
-        for frame in frames:
-            for _, group in frame.groupby(["rank", "batch"], sort=True):
-                yield pd.DataFrame(one(group.to_dict("records")), columns=names)
+        rows, held = [], 0
+        for items in batches(frames):
+            done = one(items)
+            rows += done
+            held += sum(len(row[3] or b"") for row in done)
+            if len(rows) >= FRAME_ROWS or held >= FRAME_BYTES:
+                yield pd.DataFrame(rows, columns=names)
+                rows, held = [], 0
+        if rows:
+            yield pd.DataFrame(rows, columns=names)
 
     dealt = planned.repartition("rank", "batch").sortWithinPartitions("rank", "batch", "prompt_id")
     return dealt.mapInPandas(run, RESULT)

@@ -123,6 +123,20 @@ def test_render_gives_each_item_a_status(spark):
     assert sorted(r.prompt_id for r in again.collect()) == ["p1", "p3"]
 
 
+def test_render_keeps_batches_whole_that_arrow_cuts(spark):
+    records = spark.range(10).select(F.format_string("p%d", "id").alias("prompt_id"), F.col("id").alias("seed_hint"), F.lit("").alias("negative_prompt"))
+    options = render.RenderOptions(batch_size=4)
+    planned = render.plan(records, spark.createDataFrame([], "prompt_id string"), options)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "3")
+    try:
+        got = render.render(planned, options=options).collect()
+    finally:
+        spark.conf.set(name, before)
+    assert sorted(r.batch_size for r in got) == [2] * 2 + [4] * 8
+
+
 def test_renderer_may_use_the_package_when_tables_were_written(spark):
     import quarrymill.llm.common  # noqa: F401  functions carry the package's code along from here on
 
