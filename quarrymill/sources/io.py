@@ -120,6 +120,10 @@ def frames(spark: SparkSession, path: str, decode, pattern: str = "*.mp4") -> Da
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path).select("path", "length", "content").mapInPandas(run, schema)
 
 
+#: Values are written as they are: quoted where needed, and no blank, tab or line break is trimmed at their ends.
+CSV = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
 def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """JSON lines in UTF-8, null fields left out. The committer makes a whole write visible at once; mode `errorifexists`
     protects what is there, `overwrite` replaces it, `append` adds to it."""
@@ -129,7 +133,7 @@ def write_jsonl(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def write_csv(df: DataFrame, path: str, fields: list[str] = FIELDS, mode: str = "errorifexists") -> None:
     """CSV with a header; missing fields are empty."""
     columns = [F.coalesce(F.col(f).cast("string"), F.lit("")).alias(f) if f in df.columns else F.lit("").alias(f) for f in fields]
-    df.select(*columns).write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("emptyValue", "").csv(path)
+    df.select(*columns).write.mode(mode).options(**CSV, emptyValue="").csv(path)
 
 
 def write_split(df: DataFrame, keep: Column, kept_path: str, rejected_path: str, mode: str = "errorifexists") -> None:
@@ -141,7 +145,7 @@ def write_split(df: DataFrame, keep: Column, kept_path: str, rejected_path: str,
 def write_by_status(results: DataFrame, manifest: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The manifest rows and the ids of each status, in folders status=pass, status=review and status=reject."""
     rows = manifest.join(results.select("prompt_id", "status"), "prompt_id").select(*FIELDS, "status")
-    rows.write.mode(mode).partitionBy("status").option("header", True).option("quote", '"').option("escape", '"').csv(f"{path}/manifests")
+    rows.write.mode(mode).partitionBy("status").options(**CSV).csv(f"{path}/manifests")
     results.select(F.col("prompt_id").alias("value"), "status").write.mode(mode).partitionBy("status").text(f"{path}/ids")
 
 

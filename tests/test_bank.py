@@ -153,6 +153,18 @@ def test_csv_source(spark, tmp_path):
     assert got["1"].prompt == 'two\nlines "q"' and got["2"].prompt == "" and got["3"].toxicity == "" and got["1"].threat == ""
 
 
+def test_csv_sink_keeps_white_space(spark, tmp_path):
+    texts = [" a ", "\tb\n", "\n\rc\r", "  ", "\n", 'd" ', " ,\r\n"]
+    io.write_csv(spark.createDataFrame(list(enumerate(texts)), "uuid long, prompt string"), str(tmp_path / "raw"), ["uuid", "prompt"])
+    assert {int(r.uuid): r.prompt for r in io.raw_prompts(spark, str(tmp_path / "raw")).collect()} == dict(enumerate(texts))
+
+
+def test_status_manifests_keep_white_space(spark, tmp_path):
+    results = spark.createDataFrame([("a", "pass")], "prompt_id string, status string")
+    io.write_by_status(results, manifests.metadata_rows(results.select("prompt_id", F.lit(" v ").alias("video_path"))), str(tmp_path / "s"))
+    assert [r.video for r in spark.read.option("header", True).csv(str(tmp_path / "s/manifests")).collect()] == [" v "]
+
+
 def test_json_sources_and_sinks(spark, tmp_path):
     (tmp_path / "a.jsonl").write_text('{"prompt_id": "x"}\n\n{"prompt_id": "y"}\nbroken\n')
     path = str(tmp_path / "a.jsonl")
