@@ -19,8 +19,9 @@ def col(x: Column | str) -> Column:
 
 
 def once(value: Column) -> Column:
-    """The same value, which the optimizer does not copy into each expression and filter that reads it."""
-    return F.when(F.rand(0) >= 0, value)
+    """The same value, which the optimizer does not copy into each expression and filter that reads it. It knows that
+    rand() itself is never below 0 and would drop a bare comparison."""
+    return F.when(F.rand(0) + 1 > 0, value)
 
 
 @F.pandas_udf(T.StringType())

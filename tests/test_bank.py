@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from quarrymill.functions import tags, text
-from quarrymill.operators import compose, leases, manifests, qc, render, rewrite, sampling, summaries
+from quarrymill.operators import compose, filters, leases, manifests, qc, render, rewrite, sampling, summaries
 from quarrymill.plans import pipeline
 from quarrymill.sources import io, store
 from quarrymill.streaming import leases as stream
@@ -123,6 +123,13 @@ def test_render_gives_each_item_a_status(spark):
     assert sorted(r.prompt_id for r in again.collect()) == ["p1", "p3"]
 
 
+def test_cleaning_is_planned_once_under_a_filter(spark):
+    df = spark.createDataFrame([("a fine day at the sea with two dogs",)], "prompt string")
+    kept = filters.with_clean(df, "prompt", F.lit(0.0)).where("reason IS NULL").select("n_words")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert kept.collect()[0][0] == 9 and plan.count("Message:") <= 2, plan
+
+
 def test_render_keeps_batches_whole_that_arrow_cuts(spark):
     records = spark.range(10).select(F.format_string("p%d", "id").alias("prompt_id"), F.col("id").alias("seed_hint"), F.lit("").alias("negative_prompt"))
     options = render.RenderOptions(batch_size=4)
