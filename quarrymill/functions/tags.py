@@ -1,39 +1,48 @@
-"""Heuristic tags of a prompt as Spark columns; the prompt column is read once per pattern and flag."""
+"""Heuristic tags of a prompt as Spark columns; the prompt is cut to words once, which all flags read."""
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrymill.functions import vocab
-from quarrymill.functions.text import col, length_bucket
+from quarrymill.functions.text import col, length_bucket, once, words_of
 
 MOTION_RICH, NATURAL = "motion_rich", "natural"
 
 
-def has(text: Column | str, terms: list[str]) -> Column:
-    return col(text).rlike(vocab.words(terms))
+def has(text: Column | str, terms: list[str], words: Column | str | None = None) -> Column:
+    """Whether text holds one of terms as whole words. With the text's `words_of`, single words are looked up there, and
+    the pattern of the others only runs where the first word of one is."""
+    if words is None:
+        return col(text).rlike(vocab.words(terms))
+    every = vocab.literal(terms)
+    several = [t for t in every if not t.isalnum()]
+    among = lambda values: F.arrays_overlap(col(words), F.array(*map(F.lit, values)))
+    out = among([t for t in every if t.isalnum()])
+    return out | (among(sorted({re.match("[a-z0-9]+", t)[0] for t in several})) & col(text).rlike(vocab.words(several))) if several else out
 
 
-def first_label(text: Column | str, labels: dict[str, list[str]], default: str) -> Column:
+def first_label(text: Column | str, labels: dict[str, list[str]], default: str, words: Column | str | None = None) -> Column:
     """The first label, in order, one of whose words is in text."""
-    return F.coalesce(*(F.when(has(text, terms), label) for label, terms in labels.items()), F.lit(default))
+    return F.coalesce(*(F.when(has(text, terms, words), label) for label, terms in labels.items()), F.lit(default))
 
 
-def classify_subject(text: Column | str) -> Column:
-    return first_label(text, vocab.SUBJECTS, "scene")
+def classify_subject(text: Column | str, words: Column | str | None = None) -> Column:
+    return first_label(text, vocab.SUBJECTS, "scene", words)
 
 
-def classify_scene(text: Column | str) -> Column:
-    return first_label(text, vocab.SCENES, "unknown")
+def classify_scene(text: Column | str, words: Column | str | None = None) -> Column:
+    return first_label(text, vocab.SCENES, "unknown", words)
 
 
 def with_flags(df: DataFrame, text: str = "prompt") -> DataFrame:
-    """Boolean columns that several tags share, so that no pattern runs twice."""
+    """Boolean columns that several tags share, so that nothing is looked up twice, and _words."""
     flags = {"motion": vocab.MOTION, "camera": vocab.CAMERA, "dynamics": vocab.DYNAMICS, "fine": vocab.FINE, "high": vocab.HIGH_INTENSITY, "cyclic": vocab.CYCLIC, "occlusion": vocab.OCCLUSION, "identity": vocab.IDENTITY, "entities": vocab.ENTITIES}
-    return df.withColumns({f"_{name}": has(text, terms) for name, terms in flags.items()})
+    return df.withColumn("_words", once(words_of(text))).withColumns({f"_{name}": has(text, terms, "_words") for name, terms in flags.items()})
 
 
 def motion_type() -> Column:
@@ -58,6 +67,6 @@ def challenge_tags() -> Column:
 
 def with_tags(df: DataFrame, text: str = "prompt") -> DataFrame:
     """df with all tag columns of its prompt; a null prompt counts as empty."""
-    out = with_flags(df.withColumn("_prompt", F.coalesce(F.col(text), F.lit(""))), "_prompt")
-    out = out.withColumns({"source_bucket": source_bucket(), "subject_type": classify_subject("_prompt"), "scene_type": classify_scene("_prompt"), "motion_type": motion_type(), "camera_motion": F.when(F.col("_camera"), "explicit").otherwise("unknown"), "motion_intensity": motion_intensity(), "challenge_tags": challenge_tags(), "length_bucket": length_bucket("_prompt")})
+    out = with_flags(df.withColumn("_prompt", once(F.coalesce(F.col(text), F.lit("")))), "_prompt")
+    out = out.withColumns({"source_bucket": source_bucket(), "subject_type": classify_subject("_prompt", "_words"), "scene_type": classify_scene("_prompt", "_words"), "motion_type": motion_type(), "camera_motion": F.when(F.col("_camera"), "explicit").otherwise("unknown"), "motion_intensity": motion_intensity(), "challenge_tags": challenge_tags(), "length_bucket": length_bucket("_prompt")})
     return out.drop(*(c for c in out.columns if c.startswith("_") and c not in df.columns))

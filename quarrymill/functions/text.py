@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import html
+from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column
@@ -29,6 +31,25 @@ def _unescape(text: pd.Series) -> pd.Series:
     return text.map(html.unescape, na_action="ignore")
 
 
+def let(value: Column, result: Callable[[Column], Column]) -> Column:
+    """result(value), with value computed once however often result reads it."""
+    return F.element_at(F.transform(F.array(value), result), 1)
+
+
+#: The only letters beyond ASCII that match ASCII letters where case folds.
+FOLDS = "ſKİı"
+
+
+def fold(text: Column) -> Column:
+    """Lower case, with every letter that matches an ASCII letter where case folds as that letter."""
+    return F.lower(F.when(reduce(lambda a, b: a | b, (F.contains(text, F.lit(c)) for c in FOLDS)), F.translate(text, FOLDS, "skii")).otherwise(text))
+
+
+def words_of(text: Column | str) -> Column:
+    """The different words of a text, case folded, for `tags.has`."""
+    return F.array_distinct(F.split(fold(col(text)), r"(?U)\W+"))
+
+
 def unescape(text: Column | str) -> Column:
     """HTML entities resolved. Python sees only texts that hold `&` (others are sent as null); null stays null."""
     text = col(text)
@@ -63,8 +84,7 @@ def tolerant_double(text: Column | str) -> Column:
 
 
 def length_bucket(text: Column | str) -> Column:
-    n = word_count(text)
-    return F.when(n < 16, "short").when(n <= 40, "medium").otherwise("long")
+    return let(word_count(text), lambda n: F.when(n < 16, "short").when(n <= 40, "medium").otherwise("long"))
 
 
 def sanitize_name(text: Column | str, longest: int = 120) -> Column:

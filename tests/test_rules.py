@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from quarrymill.functions import tags, text
+from quarrymill.functions import tags, text, vocab
 from quarrymill.operators import filters, qc, rewrite
 
 
@@ -173,3 +173,13 @@ def test_upper_median_and_empty_metrics(spark):
     df = spark.createDataFrame([(1.0, None), (2.0, None), (3.0, None), (4.0, None)], "a double, b double")
     got = {r.metric: (r.min, r.mean, r.median, r.max) for r in qc.metric_summary(df, ["a", "b"]).collect()}
     assert got == {"a": (1.0, 2.5, 3.0, 4.0)}
+
+
+def test_word_lookup_equals_the_patterns(spark):
+    terms = ["close-up", "walk", "coca-cola", "cocacola", "nike", "spider man", "clouds", "words", "through the crowd"]
+    odd = ["ſnow", "nıKe nİke", "walk-ing", "close up", "coca cola", "cloud?", "wálk", "walk\u200d", "水walk", "spider\nman", "", None]
+    rows = [(f"{a}{t.upper()}{b}",) for t in terms for a, b in (("", ""), ("é", ""), ("-", "."), ("", "_"))] + [(t,) for t in odd]
+    df = spark.createDataFrame(rows, "t string").withColumn("w", text.words_of("t"))
+    lists = [vocab.TEXT_OR_LOGO, vocab.SENSITIVE_OR_IP, vocab.MOTION, vocab.CAMERA, vocab.DYNAMICS, vocab.OCCLUSION, vocab.PUBLIC_IP]
+    differs = F.array(*(~tags.has("t", every).eqNullSafe(tags.has("t", every, "w")) for every in lists))
+    assert df.where(F.exists(differs, lambda x: x)).collect() == []
