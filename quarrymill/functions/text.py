@@ -6,7 +6,6 @@ import html
 from collections.abc import Callable
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,9 +25,10 @@ def once(value: Column) -> Column:
     return F.when(F.rand(0) + 1 > 0, value)
 
 
-@F.pandas_udf(T.StringType())
-def _unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+@F.udf(T.StringType(), useArrow=False)
+def _unescape(text: str | None) -> str | None:
+    """Not by Arrow: its batches are of 10,000 texts whatever their length, pickled ones of 100."""
+    return None if text is None else html.unescape(text)
 
 
 def let(value: Column, result: Callable[[Column], Column]) -> Column:

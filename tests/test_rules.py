@@ -183,3 +183,10 @@ def test_word_lookup_equals_the_patterns(spark):
     lists = [vocab.TEXT_OR_LOGO, vocab.SENSITIVE_OR_IP, vocab.MOTION, vocab.CAMERA, vocab.DYNAMICS, vocab.OCCLUSION, vocab.PUBLIC_IP]
     differs = F.array(*(~tags.has("t", every).eqNullSafe(tags.has("t", every, "w")) for every in lists))
     assert df.where(F.exists(differs, lambda x: x)).collect() == []
+
+
+def test_unescape_batches_are_small(spark):
+    texts = ["a &amp; b", "&lt;p&gt; &#x41;&notit;", "plain", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", text.unescape("t").alias("u"))
+    assert [r.u for r in df.collect()] == ["a & b", "<p> A¬it;", "plain", None]
+    assert "ArrowEvalPython" not in df._jdf.queryExecution().executedPlan().toString()
