@@ -16,7 +16,7 @@ from quarrymill.operators.leases import is_stale
 from quarrymill.plans import oracle, queries
 from quarrymill.sources import io
 from quarrymill.sources.io import parquet_table as table
-from quarrymill.sources.store import new_path
+from quarrymill.sources.store import materialise, new_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -245,6 +245,7 @@ def sink_report(spark, sf_dir):
     """The Markdown report: the counts by status and reason, and the first 20 ids of each status."""
     path = new_path(spark, "report")
     results = qc.with_status(queries.frame_metrics(spark, sf_dir), queries.QC).withColumn("prompt_id", F.col("vec_id"))
+    results = materialise(results.select("prompt_id", "status", "reject_reasons", "warning_reasons", *queries.METRIC_COLUMNS), "results")  # read eight times
     report = io.qc_report(results, qc.reason_counts(results), qc.metric_summary(results, queries.METRIC_COLUMNS))
     spark.createDataFrame([(line,) for line in report.splitlines()], "value string").coalesce(1).write.text(path)
     lines = spark.read.text(path).select(F.col("value").alias("line"))

@@ -310,3 +310,12 @@ def test_stats_and_config(spark):
     assert [r[0] for r in rows.select(text.config_value("j", "a", "b", "c")).collect()] == ["x", "", "", "5"]
     frame = spark.createDataFrame([([-2.0, -1.0, 0.0, 1.0, 9.0, None],), (None,)], "t array<double>")
     assert [r[0] for r in frame.select(text.to_frame("t")).collect()] == [[0, 0, 128, 255, 255, None], None]
+
+
+def test_report_reads_written_results(spark, sf_dir, monkeypatch):
+    from quarrymill.plans import stored
+
+    seen = []
+    monkeypatch.setattr(stored.io, "qc_report", lambda results, *_: seen.extend(results.inputFiles()) or "")
+    stored.sink_report(spark, sf_dir)
+    assert seen and all("/results-" in path for path in seen)
